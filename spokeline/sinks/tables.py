@@ -76,12 +76,16 @@ def replace_window(
     """
     first, stop = window
     spark, key = df.sparkSession, table.partition_by
-    # Days are counted while they are written. Their number is bounded by the window.
+    rows = laid_out(
+        df.where((F.col(key) >= F.lit(first)) & (F.col(key) < F.lit(stop))), table, gather=gather
+    )
+    # Days are noted while they are written; the window bounds their number. The
+    # note is taken last in the plan, where an empty input does not remove it.
     seen = Observation(f"{table.name} window")
-    rows = df.where((F.col(key) >= F.lit(first)) & (F.col(key) < F.lit(stop))).observe(
+    rows = rows.observe(
         seen, F.array_join(F.collect_set(F.col(key).cast("string")), ",").alias("days")
     )
-    replace_by_key(rows, path, table, gather=gather)
+    _writer(rows, table, "dynamic").parquet(path)
     written = {date.fromisoformat(d) for d in (seen.get["days"] or "").split(",") if d}
     if not written and not allow_empty:
         raise EmptyWindowError(f"no rows for {first} up to {stop}; nothing was replaced")

@@ -512,7 +512,7 @@ FROM (
         ),
     }
     # Other ways to the same rows.
-    sql["landing_roundtrip"] = sql["csv_scan"]
+    sql["landing_roundtrip"] = sql["archive_scan"] = sql["csv_scan"]
     for report in ("hourly", "weekly", "monthly"):
         sql[f"rolled_{report}_report"] = sql[f"{report}_report"]
     sql["rolled_top_stations_start"] = sql["top_stations_start"]

@@ -116,6 +116,13 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_landed_csv(spark, sf_dir).select(*schemas.TRIPS.names))
 
 
+def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips written as zip archives and read back by the archive source."""
+    folder = _scratch(spark, "zip").removeprefix("file:")
+    source.write_archives(source.trips(spark, sf_dir), folder)
+    return rounded(trip_files.read_archives(spark, folder).select(*schemas.TRIPS.names))
+
+
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to landed Parquet and back."""
     landing = _scratch(spark, "landing")
@@ -208,6 +215,7 @@ def queries() -> dict[str, Query]:
         "month_labels": _on_trips(month_labels),
         # files and tables
         "csv_scan": csv_scan,
+        "archive_scan": archive_scan,
         "landing_roundtrip": landing_roundtrip,
         "window_replace": window_replace,
         "delete_insert": delete_insert,

@@ -67,16 +67,49 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.clean(raw(spark, sf_dir), START, END)
 
 
+# Quotes doubled, white space and microseconds kept.
+_CSV = {
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(trips: DataFrame, folder: str) -> None:
-    """Trips as trip files: header, quotes doubled, white space and microseconds kept."""
-    (
-        trips.write.option("header", True)
-        .option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-        .csv(folder)
-    )
+    """Trips as CSV files with a header."""
+    trips.write.options(**_CSV).option("header", True).csv(folder)
+
+
+def write_archives(trips: DataFrame, folder: str) -> None:
+    """Trips as zip archives, one per partition, each written as a stream by its task.
+
+    A repeated task writes the same archive again, under the same name.
+    """
+    header = ",".join(trips.columns)
+
+    def pack(batches):
+        import zipfile
+
+        from pyarrow import RecordBatch, fs
+        from pyspark import TaskContext
+
+        name = f"202401-{TaskContext.get().partitionId():05d}"
+        filesystem, root = fs.FileSystem.from_uri(folder)
+        filesystem.create_dir(root, recursive=True)
+        with (
+            filesystem.open_output_stream(f"{root}/{name}.zip") as out,
+            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive,
+            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
+        ):
+            member.write((header + "\n").encode())
+            for batch in batches:
+                lines = batch.column(0).to_pylist()
+                member.write("".join(f"{line}\n" for line in lines).encode())
+        yield RecordBatch.from_pydict({"archive": [name]})
+
+    lines = trips.select(F.to_csv(F.struct("*"), _CSV).alias("line"))
+    lines.mapInArrow(pack, "archive string").write.format("noop").mode("overwrite").save()
 
 
 def _numbered(prefix: str, number: Column, suffix: str = "") -> Column:
