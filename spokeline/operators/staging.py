@@ -51,8 +51,8 @@ def validity_rules() -> dict[str, Column]:
     lats = [F.col("start_lat"), F.col("end_lat")]
     lngs = [F.col("start_lng"), F.col("end_lng")]
     present = [c.isNotNull() for c in lats + lngs]
-    # NaN compares above every number, so between() rejects it.
-    inside = [c.between(-90.0, 90.0) for c in lats] + [c.between(-180.0, 180.0) for c in lngs]
+    # NaN compares above every number, so it counts as out of range.
+    inside = [F.abs(c) <= 90.0 for c in lats] + [F.abs(c) <= 180.0 for c in lngs]
     return {
         "placeholder_id": F.col("ride_id") != "nan",
         "ends_before_start": F.col("ended_at") >= F.col("started_at"),

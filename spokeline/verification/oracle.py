@@ -132,16 +132,14 @@ _LABELS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','D
 _STAGING_COLUMNS = """
   ride_id, rideable_type, started_at, ended_at, started_date, started_month, started_hour,
   day_of_week, is_weekend, start_station_name, start_station_id, end_station_name, end_station_id,
-  round(start_lat, 6) AS start_lat, round(start_lng, 6) AS start_lng,
-  round(end_lat, 6) AS end_lat, round(end_lng, 6) AS end_lng, member_casual,
+  start_lat, start_lng, end_lat, end_lng, member_casual,
   round(ride_duration_minutes, 6) AS ride_duration_minutes,
   round(ride_distance_km, 6) AS ride_distance_km,
   round(avg_speed_kmh, 6) AS avg_speed_kmh, source_month"""
 
 _TRIP_COLUMNS = """
   ride_id, rideable_type, started_at, ended_at, {texts},
-  round(start_lat, 6) AS start_lat, round(start_lng, 6) AS start_lng,
-  round(end_lat, 6) AS end_lat, round(end_lng, 6) AS end_lng, member_casual"""
+  start_lat, start_lng, end_lat, end_lng, member_casual"""
 _STATIONS = "start_station_name, start_station_id, end_station_name, end_station_id"
 _RAW_COLUMNS = _TRIP_COLUMNS.format(texts=_STATIONS) + ", source_month, started_date"
 

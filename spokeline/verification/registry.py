@@ -29,12 +29,13 @@ NARROW = (RUNS[0][0], RUNS[1][1])
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Doubles rounded, because engines add them in different orders."""
-    return df.select(
-        *[
-            F.round(f.name, places).alias(f.name) if f.dataType == T.DoubleType() else F.col(f.name)
+    """Computed doubles rounded, because engines add them in different orders."""
+    return df.withColumns(
+        {
+            f.name: F.round(f.name, places)
             for f in df.schema
-        ]
+            if f.dataType == T.DoubleType() and not f.name.endswith(("_lat", "_lng"))
+        }
     )
 
 
@@ -72,7 +73,7 @@ def staging_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = source.trips(spark, sf_dir)
-    return rounded(staging.landed_in_window(landed, *NARROW).drop("loaded_at"))
+    return staging.landed_in_window(landed, *NARROW).drop("loaded_at")
 
 
 def rejected_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,21 +114,21 @@ def _landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_landed_csv(spark, sf_dir).select(*schemas.TRIPS.names))
+    return _landed_csv(spark, sf_dir).select(*schemas.TRIPS.names)
 
 
 def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips written as zip archives and read back by the archive source."""
     folder = _scratch(spark, "zip").removeprefix("file:")
     source.write_archives(source.trips(spark, sf_dir), folder)
-    return rounded(trip_files.read_archives(spark, folder).select(*schemas.TRIPS.names))
+    return trip_files.read_archives(spark, folder).select(*schemas.TRIPS.names)
 
 
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to landed Parquet and back."""
     landing = _scratch(spark, "landing")
     refresh.land(_landed_csv(spark, sf_dir), landing)
-    return rounded(trip_files.read_landed(spark, landing))
+    return trip_files.read_landed(spark, landing)
 
 
 def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,7 +139,7 @@ def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     window = run_window(*NARROW)
     again = staging.landed_in_window(landed, *NARROW)
     sinks.replace_window(again, path, schemas.RAW, window)
-    return rounded(tables.read(spark, path, schemas.RAW).drop("loaded_at"))
+    return tables.read(spark, path, schemas.RAW).drop("loaded_at")
 
 
 def delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:

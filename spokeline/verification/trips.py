@@ -7,7 +7,7 @@ texts), so that each cleaning rule has rows to work on; no event is left out.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,14 +27,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def from_events(events: DataFrame) -> DataFrame:
     event, user = F.col("event_id"), F.col("user_id")
-    start_no, end_no = user % STATIONS, event % STATIONS
-    started = F.col("ts") + F.make_ym_interval(F.lit(0), (event % MONTHS).cast("int"))
+    start_no, end_no = F.col("_start_no"), F.col("_end_no")
+    started = F.col("ts") + F.make_ym_interval(F.lit(0), F.lit(1)) * (event % MONTHS)
     seconds = (
         F.when(event % 89 == 0, -60)
         .when(event % 83 == 0, 0)
         .otherwise(F.floor(F.col("value") * 12.0))
     )
-    ended = F.col("started_at") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    ended = F.col("started_at") + seconds * F.lit(timedelta(seconds=1))
     columns = {
         "ride_id": F.when(event % 97 == 0, "nan").otherwise(_numbered("R", event)),
         "rideable_type": F.when(
@@ -54,7 +54,9 @@ def from_events(events: DataFrame) -> DataFrame:
         "end_lng": _lng(end_no),
         "member_casual": F.when(user % 5 == 0, "casual").otherwise(" member"),
     }
-    return events.withColumn("started_at", started).select(
+    # Values used several times get a column, so that Spark computes them once.
+    once = {"started_at": started, "_start_no": user % STATIONS, "_end_no": event % STATIONS}
+    return events.withColumns(once).select(
         *[columns[name].alias(name) for name in schemas.TRIPS.names]
     )
 

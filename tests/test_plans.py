@@ -44,7 +44,7 @@ def test_window_scan_reads_only_its_days(spark, stored):
 def test_filters_reach_the_parquet_scan(spark, stored):
     text = plan(staging.clean(tables.read(spark, str(stored / "raw"), schemas.RAW), *RUN))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
-    for part in ("Not(EqualTo(ride_id,nan))", "IsNotNull(start_lat)", "LessThanOrEqual(end_lng,180.0)"):
+    for part in ("Not(EqualTo(ride_id,nan))", "IsNotNull(start_lat)", "IsNotNull(end_lng)"):
         assert part in pushed
 
 
