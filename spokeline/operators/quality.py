@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline import schemas
@@ -23,10 +23,12 @@ def checks(table: schemas.Table) -> dict[tuple[str, str], Column]:
     return found
 
 
+def _counts(table: schemas.Table) -> list[Column]:
+    return [F.count_if(bad).alias(f"check_{i}") for i, bad in enumerate(checks(table).values())]
+
+
 def check(df: DataFrame, table: schemas.Table) -> DataFrame:
     """One row per declared check with its failing rows."""
-    declared = checks(table)
-    counts = df.agg(*[F.count_if(bad).alias(f"check_{i}") for i, bad in enumerate(declared.values())])
     rows = [
         F.struct(
             F.lit(table.name).alias("table_name"),
@@ -35,9 +37,32 @@ def check(df: DataFrame, table: schemas.Table) -> DataFrame:
             F.col(f"check_{i}").alias("failing_rows"),
             (F.col(f"check_{i}") == 0).alias("passed"),
         )
-        for i, (column, name) in enumerate(declared)
+        for i, (column, name) in enumerate(checks(table))
+    ]
+    return df.agg(*_counts(table)).select(F.inline(F.array(*rows)))
+
+
+def watch(df: DataFrame, table: schemas.Table) -> tuple[DataFrame, Observation]:
+    """The frame with its checks counted while it is written, which saves reading it again.
+
+    Counts are exact where no shuffle follows before the write: Spark adds a
+    finished task of the last stage once, however often tasks are repeated.
+    """
+    seen = Observation(f"{table.name} checks")
+    return df.observe(seen, *_counts(table)), seen
+
+
+def watched(spark: SparkSession, seen: Observation, table: schemas.Table) -> DataFrame:
+    """The check report of a frame that was watched and has been written."""
+    rows = [
+        (table.name, column, name, failing, failing == 0)
+        for (column, name), failing in zip(checks(table), seen.get.values())
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return spark.createDataFrame(
+        rows,
+        "table_name string, column_name string, check_name string, "
+        "failing_rows bigint, passed boolean",
+    )
 
 
 def schema_differences(df: DataFrame, table: schemas.Table) -> list[str]:

@@ -65,11 +65,17 @@ def load_raw(
 
 def build_staging(
     spark: SparkSession, where: Tables, start: date, end: date, *, full_refresh: bool = False
-) -> None:
-    """Clean the window's raw trips. Raw is stored by day already, so nothing is shuffled."""
+) -> DataFrame:
+    """Clean the window's raw trips and return the report of the checks on them.
+
+    Raw is stored by day already, so nothing is shuffled. Days of earlier runs
+    were checked by those runs.
+    """
     cleaned = staging.clean(where.read(spark, schemas.RAW), start, end)
+    cleaned, checked = quality.watch(cleaned, schemas.STAGING)
     write = sinks.replace if full_refresh else sinks.replace_by_key
     write(cleaned, where.path(schemas.STAGING), schemas.STAGING, gather=False)
+    return quality.watched(spark, checked, schemas.STAGING)
 
 
 def build_rollups(
@@ -92,12 +98,6 @@ def build_reports(spark: SparkSession, where: Tables) -> None:
         sinks.replace(reports.from_rollups(usage, visits, table), where.path(table), table)
 
 
-def check_staging(spark: SparkSession, where: Tables, start: date, end: date) -> DataFrame:
-    """Checks over the days this run wrote; earlier days were checked by their own run."""
-    window = staging.raw_in_window(where.read(spark, schemas.STAGING), start, end)
-    return quality.check(window, schemas.STAGING)
-
-
 def check_reports(spark: SparkSession, where: Tables) -> DataFrame:
     results = [
         quality.check(where.read(spark, t), t)
@@ -130,9 +130,9 @@ def refresh(
         read = trip_files.read_archives if archives else trip_files.read_csv
         land(read(spark, source, months), where.landing)
     load_raw(spark, where, start, end, allow_empty=allow_empty)
-    build_staging(spark, where, start, end, full_refresh=full_refresh)
+    checked = build_staging(spark, where, start, end, full_refresh=full_refresh)
     if fail_on_check:
-        quality.require(check_staging(spark, where, start, end))
+        quality.require(checked)
     build_rollups(spark, where, start, end, full_refresh=full_refresh)
     build_reports(spark, where)
     if fail_on_check:

@@ -2,8 +2,10 @@ import zipfile
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from spokeline import schemas
+from spokeline.operators import quality
 from spokeline.plans import refresh
 from spokeline.sources import trip_archive, trip_files
 
@@ -157,6 +159,30 @@ def test_refresh_from_files_to_reports(spark, tmp_path):
     assert months == {"202401", "202402"}
 
 
+def test_refresh_from_archives(spark, archives, tmp_path):
+    where = refresh.Tables(str(tmp_path / "warehouse"))
+    run = (date(2024, 2, 15), date(2024, 3, 15))
+    refresh.refresh(spark, where, *run, source=str(archives), archives=True)
+    monthly = where.read(spark, schemas.MONTHLY).collect()
+    # One of the trips has an unreadable start and is left out.
+    assert [(r.metric_month, r.ride_count) for r in monthly] == [(date(2024, 1, 1), 5003)]
+
+
+def test_staging_is_checked_while_it_is_written(spark, trips, tmp_path):
+    where = refresh.Tables(str(tmp_path / "warehouse"))
+    kinds = ("docked_bike", " ", "classic_bike")
+    refresh.land(
+        trips(*[{"rideable_type": k} for k in kinds]).withColumn("file_month", F.lit("202403")),
+        where.landing,
+    )
+    run = (date(2024, 4, 1), date(2024, 4, 1))
+    refresh.load_raw(spark, where, *run)
+    while_writing = refresh.build_staging(spark, where, *run)
+    afterwards = quality.check(where.read(spark, schemas.STAGING), schemas.STAGING)
+    assert while_writing.exceptAll(afterwards).count() == 0
+    assert while_writing.where("not passed").count() == 2
+
+
 def test_full_refresh_keeps_only_its_window(spark, tmp_path):
     files = tmp_path / "files"
     files.mkdir()
@@ -170,12 +196,10 @@ def test_full_refresh_keeps_only_its_window(spark, tmp_path):
 
 
 def test_a_failed_check_stops_the_run_before_the_reports(spark, tmp_path):
-    from spokeline.operators.quality import QualityError
-
     (tmp_path / "202401.csv").write_text(text(line("a").replace("classic_bike", "docked_bike")))
     where = refresh.Tables(str(tmp_path / "warehouse"))
     run = (date(2024, 2, 1), date(2024, 2, 1))
-    with pytest.raises(QualityError, match="rideable_type accepted_values: 1 rows"):
+    with pytest.raises(quality.QualityError, match="rideable_type accepted_values: 1 rows"):
         refresh.refresh(spark, where, *run, source=str(tmp_path))
     assert not (tmp_path / "warehouse" / "report").exists()
     refresh.refresh(spark, where, *run, fail_on_check=False)
