@@ -49,7 +49,7 @@ def from_trips(trips: DataFrame, table: schemas.Table, stations: bool = True) ->
 
 
 def from_rollups(usage: DataFrame, visits: DataFrame, table: schemas.Table) -> DataFrame:
-    """The same report from the rollup tables."""
+    """The same report from usage sums and station visits (for the hourly report, by hour)."""
     keys = _keys(table)
     sums = (
         usage.withColumns(keys)

@@ -1,12 +1,11 @@
-"""Trips pre-aggregated once, so that reports and station lists need not read them again.
-
-Two tables at hour grain carry everything the reports show:
+"""Trips pre-aggregated by day, so that reports over all days need not read them again.
 
 * usage sums: counts and sums of the measures per hour, rider and bike;
-* station visits: trips per station and side (start or end) on the same keys.
+* station visits: trips per day, rider, bike, side (start or end) and station.
 
-Both aggregate inside each task before the shuffle, so an hour or a station
-that holds a third of all trips arrives as a few partial rows.
+Their size depends on days and stations, not on trips. Both aggregate inside
+each task before the shuffle, so an hour or a station that holds a third of
+all trips arrives as a few partial rows.
 """
 
 from __future__ import annotations
@@ -16,7 +15,8 @@ from pyspark.sql import functions as F
 
 from spokeline import schemas
 
-KEYS = ["started_date", "started_hour", "member_casual", "rideable_type"]
+DAY = ["started_date", "member_casual", "rideable_type"]
+HOUR = ["started_date", "started_hour", "member_casual", "rideable_type"]
 SUMS = ["rides", "duration_sum", "distance_sum", "speed_sum", "speed_rides"]
 _START = ["start_station_id", "start_station_name"]
 _END = ["end_station_id", "end_station_name"]
@@ -52,9 +52,14 @@ def count_visits(trips: DataFrame, keys: list[str], named: bool) -> DataFrame:
 
 def usage_sums(trips: DataFrame) -> DataFrame:
     """Rows of the usage sums table."""
-    return sum_trips(trips, KEYS).select(*schemas.USAGE_SUMS.names)
+    return sum_trips(trips, HOUR).select(*schemas.USAGE_SUMS.names)
 
 
 def station_visits(trips: DataFrame) -> DataFrame:
     """Rows of the station visits table."""
-    return count_visits(trips, KEYS, named=True).select(*schemas.STATION_VISITS.names)
+    return count_visits(trips, DAY, named=True).select(*schemas.STATION_VISITS.names)
+
+
+def hourly_visits(trips: DataFrame) -> DataFrame:
+    """Station visits by hour. Only a day's own hourly rows need them, so they are not stored."""
+    return count_visits(trips, HOUR, named=False)

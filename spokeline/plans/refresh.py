@@ -78,23 +78,31 @@ def build_staging(
     return quality.watched(spark, checked, schemas.STAGING)
 
 
-def build_rollups(
+def build_daily(
     spark: SparkSession, where: Tables, start: date, end: date, *, full_refresh: bool = False
 ) -> None:
-    """Sum up the window's clean trips; other days keep the sums of their own run."""
+    """Write what depends on one day's trips only: both rollups and the hourly report.
+
+    Rows of days outside the window are those of a rebuild over all trips,
+    because staging changes inside the window only.
+    """
     window = staging.raw_in_window(where.read(spark, schemas.STAGING), start, end)
     write = sinks.replace if full_refresh else sinks.replace_by_key
-    write(rollups.usage_sums(window), where.path(schemas.USAGE_SUMS), schemas.USAGE_SUMS)
-    write(
-        rollups.station_visits(window), where.path(schemas.STATION_VISITS), schemas.STATION_VISITS
-    )
+    for table, rows in (
+        (schemas.USAGE_SUMS, rollups.usage_sums(window)),
+        (schemas.STATION_VISITS, rollups.station_visits(window)),
+    ):
+        write(rows, where.path(table), table)
+    usage = staging.raw_in_window(where.read(spark, schemas.USAGE_SUMS), start, end)
+    hourly = reports.from_rollups(usage, rollups.hourly_visits(window), schemas.HOURLY)
+    write(hourly, where.path(schemas.HOURLY), schemas.HOURLY)
 
 
 def build_reports(spark: SparkSession, where: Tables) -> None:
-    """Write the three reports anew over all days."""
+    """Write the reports over all days anew, from the rollups alone."""
     usage = where.read(spark, schemas.USAGE_SUMS)
     visits = where.read(spark, schemas.STATION_VISITS)
-    for table in (schemas.HOURLY, schemas.WEEKLY, schemas.MONTHLY):
+    for table in (schemas.WEEKLY, schemas.MONTHLY):
         sinks.replace(reports.from_rollups(usage, visits, table), where.path(table), table)
 
 
@@ -133,7 +141,7 @@ def refresh(
     checked = build_staging(spark, where, start, end, full_refresh=full_refresh)
     if fail_on_check:
         quality.require(checked)
-    build_rollups(spark, where, start, end, full_refresh=full_refresh)
+    build_daily(spark, where, start, end, full_refresh=full_refresh)
     build_reports(spark, where)
     if fail_on_check:
         quality.require(check_reports(spark, where))

@@ -177,17 +177,13 @@ WEEKLY = Table(
     cluster_by=("day_of_week", "member_casual", "rideable_type"),
 )
 
-_ROLLUP_KEYS = (
-    Column("started_date", DATE),
-    Column("started_hour", LONG),
-    Column("member_casual", STRING),
-    Column("rideable_type", STRING),
-)
-
 USAGE_SUMS = Table(
     "usage_sums",
-    _ROLLUP_KEYS
-    + (
+    (
+        Column("started_date", DATE),
+        Column("started_hour", LONG),
+        Column("member_casual", STRING),
+        Column("rideable_type", STRING),
         Column("rides", LONG),
         Column("duration_sum", DOUBLE, comment="minutes"),
         Column("distance_sum", DOUBLE, comment="km"),
@@ -200,15 +196,17 @@ USAGE_SUMS = Table(
 
 STATION_VISITS = Table(
     "station_visits",
-    _ROLLUP_KEYS
-    + (
+    (
+        Column("started_date", DATE),
+        Column("member_casual", STRING),
+        Column("rideable_type", STRING),
         Column("side", STRING, comment="start or end of the trips counted"),
         Column("station_id", STRING),
         Column("station_name", STRING),
         Column("visits", LONG),
     ),
     partition_by="started_date",
-    cluster_by=("side", "station_id", "started_hour"),
+    cluster_by=("side", "station_id"),
 )
 
 CHECKED_TABLES = (STAGING, HOURLY, MONTHLY, WEEKLY)

@@ -371,6 +371,9 @@ FROM events""",
             NARROW, HOURLY.replace("staging", "narrow"), WEEKLY.replace("staging", "narrow"),
             select=_WEEKLY_REPORT,
         ),
+        "refreshed_hourly_report": _with(
+            NARROW, HOURLY.replace("staging", "narrow"), select=_HOURLY_REPORT
+        ),
         "hourly_report": _hourly(_HOURLY_REPORT),
         "weekly_report": _weekly(_WEEKLY_REPORT),
         "monthly_report": _monthly(_MONTHLY_REPORT),

@@ -179,9 +179,9 @@ def _refreshed(table: schemas.Table) -> Query:
 
 
 def _from_rollups(table: schemas.Table) -> Query:
-    return _on_trips(
-        lambda t: reports.from_rollups(rollups.usage_sums(t), rollups.station_visits(t), table)
-    )
+    hourly_table = table is schemas.HOURLY
+    visits = rollups.hourly_visits if hourly_table else rollups.station_visits
+    return _on_trips(lambda t: reports.from_rollups(rollups.usage_sums(t), visits(t), table))
 
 
 def _top(side: str) -> Query:
@@ -222,6 +222,7 @@ def queries() -> dict[str, Query]:
         "delete_insert": delete_insert,
         "full_refresh": full_refresh,
         "refreshed_weekly_report": _refreshed(schemas.WEEKLY),
+        "refreshed_hourly_report": _refreshed(schemas.HOURLY),
         # reports
         "hourly_report": _on_trips(reports.hourly),
         "weekly_report": _on_trips(reports.weekly),

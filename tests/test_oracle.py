@@ -8,7 +8,7 @@ from spokeline.verification import oracle, registry
 SF = "/root/testdata/sf0.001"
 # Writing a folder per day of two years takes long on one machine; tests of the
 # sinks cover these, and tests/compare.py runs them.
-FOLDER_PER_DAY = {"window_replace", "delete_insert", "full_refresh"}
+FOLDER_PER_DAY = {"window_replace", "delete_insert", "full_refresh", "refreshed_hourly_report"}
 
 
 @pytest.fixture(scope="module")

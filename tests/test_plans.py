@@ -71,7 +71,8 @@ def test_top_lists_are_cut_before_the_shuffle(spark, stored):
 
 
 WRITING = {"csv_scan", "landing_roundtrip", "archive_scan", "window_replace", "delete_insert",
-           "full_refresh", "refreshed_weekly_report"}
+           "full_refresh", "refreshed_weekly_report",
+           "refreshed_hourly_report"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
