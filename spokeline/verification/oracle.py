@@ -1,4 +1,7 @@
-"""DuckDB SQL for each query, written from the definitions and not from the Spark code."""
+"""DuckDB SQL for each query, written from the definitions and not from the Spark code.
+
+Doubles are rounded the way ``registry.rounded`` explains.
+"""
 
 from __future__ import annotations
 
@@ -133,9 +136,9 @@ _STAGING_COLUMNS = """
   ride_id, rideable_type, started_at, ended_at, started_date, started_month, started_hour,
   day_of_week, is_weekend, start_station_name, start_station_id, end_station_name, end_station_id,
   start_lat, start_lng, end_lat, end_lng, member_casual,
-  round(ride_duration_minutes, 6) AS ride_duration_minutes,
-  round(ride_distance_km, 6) AS ride_distance_km,
-  round(avg_speed_kmh, 6) AS avg_speed_kmh, source_month"""
+  round(ride_duration_minutes + 1e-9, 6) AS ride_duration_minutes,
+  round(ride_distance_km + 1e-9, 6) AS ride_distance_km,
+  round(avg_speed_kmh + 1e-9, 6) AS avg_speed_kmh, source_month"""
 
 _TRIP_COLUMNS = """
   ride_id, rideable_type, started_at, ended_at, {texts},
@@ -144,9 +147,9 @@ _STATIONS = "start_station_name, start_station_id, end_station_name, end_station
 _RAW_COLUMNS = _TRIP_COLUMNS.format(texts=_STATIONS) + ", source_month, started_date"
 
 _REPORT_MEASURES = """ride_count, unique_start_stations, unique_end_stations,
-  round(avg_ride_duration_minutes, 6) AS avg_ride_duration_minutes,
-  round(avg_ride_distance_km, 6) AS avg_ride_distance_km,
-  round(avg_speed_kmh, 6) AS avg_speed_kmh"""
+  round(avg_ride_duration_minutes + 1e-9, 6) AS avg_ride_duration_minutes,
+  round(avg_ride_distance_km + 1e-9, 6) AS avg_ride_distance_km,
+  round(avg_speed_kmh + 1e-9, 6) AS avg_speed_kmh"""
 
 
 def _with(*tables: str, select: str) -> str:
@@ -221,12 +224,12 @@ SELECT *, format('{{:,}}', CAST(round_even(avg_daily_rides, 0) AS BIGINT)) AS da
   printf('%.1f', avg_speed_kmh) || ' km/h' AS speed_text
 FROM (
   SELECT
-    round(sum(ride_count) / count(DISTINCT metric_date), 6) AS avg_daily_rides,
-    round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count), 6)
+    round(sum(ride_count) / count(DISTINCT metric_date) + 1e-9, 6) AS avg_daily_rides,
+    round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) + 1e-9, 6)
       AS avg_duration_minutes,
-    round(sum(avg_ride_distance_km * ride_count) / sum(ride_count), 6) AS avg_distance_km,
+    round(sum(avg_ride_distance_km * ride_count) / sum(ride_count) + 1e-9, 6) AS avg_distance_km,
     round(sum(avg_speed_kmh * ride_count)
-      / sum(ride_count) FILTER (avg_speed_kmh IS NOT NULL), 6) AS avg_speed_kmh
+      / sum(ride_count) FILTER (avg_speed_kmh IS NOT NULL) + 1e-9, 6) AS avg_speed_kmh
   FROM hourly {where}
 )"""
 
@@ -235,21 +238,21 @@ def _activity(kind: str, where: str = "") -> str:
     return f"""
 SELECT started_hour, {kind}, sum(ride_count)::BIGINT AS total_rides,
   count(DISTINCT metric_date) AS n_days,
-  round(sum(ride_count) / count(DISTINCT metric_date), 6) AS avg_rides
+  round(sum(ride_count) / count(DISTINCT metric_date) + 1e-9, 6) AS avg_rides
 FROM hourly {where} GROUP BY ALL"""
 
 
 def _share(kind: str, where: str = "") -> str:
     return f"""
-SELECT {kind}, round(sum(ride_count) / any_value(n_weeks), 6) AS avg_rides,
-  round(sum(ride_count) / (SELECT sum(ride_count) FROM weekly {where}), 6) AS share
+SELECT {kind}, round(sum(ride_count) / any_value(n_weeks) + 1e-9, 6) AS avg_rides,
+  round(sum(ride_count) / (SELECT sum(ride_count) FROM weekly {where}) + 1e-9, 6) AS share
 FROM weekly CROSS JOIN weeks {where} GROUP BY {kind}"""
 
 
 def _by_day(kind: str) -> str:
     return f"""
 SELECT weekday_name, day_of_week, {kind},
-  round(sum(ride_count) / any_value(n_weeks), 6) AS avg_rides
+  round(sum(ride_count) / any_value(n_weeks) + 1e-9, 6) AS avg_rides
 FROM weekly CROSS JOIN weeks GROUP BY weekday_name, day_of_week, {kind}"""
 
 
@@ -277,7 +280,7 @@ pairs AS (
     coalesce(max(v) FILTER (year = 2024), 0) AS a, coalesce(max(v) FILTER (year = 2025), 0) AS b
   FROM cards GROUP BY position, label
 )
-SELECT position, label, round(a, 6) AS value_2024, round(b, 6) AS value_2025,
+SELECT position, label, round(a + 1e-9, 6) AS value_2024, round(b + 1e-9, 6) AS value_2025,
   CASE WHEN position <= 2 THEN format('{{:,}}', a::BIGINT)
        WHEN position = 3 THEN printf('%.1f', a) ELSE printf('%.2f', a) END AS text_2024,
   CASE WHEN position <= 2 THEN format('{{:,}}', b::BIGINT)
@@ -407,24 +410,24 @@ FROM events""",
         ),
         "hourly_duration_by_member": _hourly(
             "SELECT started_hour, member_casual, "
-            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count), 6) "
+            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) + 1e-9, 6) "
             "AS avg_duration FROM hourly GROUP BY ALL"
         ),
         "hourly_distance_by_member": _hourly(
             "SELECT started_hour, member_casual, "
-            "round(sum(avg_ride_distance_km * ride_count) / sum(ride_count), 6) AS avg_distance, "
+            "round(sum(avg_ride_distance_km * ride_count) / sum(ride_count) + 1e-9, 6) AS avg_distance, "
             "count(DISTINCT metric_date) AS n_days FROM hourly GROUP BY ALL"
         ),
         "weekday_weekend_duration": _hourly(
             "SELECT is_weekend, sum(ride_count)::BIGINT AS rides, "
-            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count), 6) "
+            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) + 1e-9, 6) "
             "AS avg_duration FROM hourly GROUP BY ALL"
         ),
-        "weeks_covered": _weekly("SELECT round(n_weeks, 6) AS n_weeks FROM weeks"),
+        "weeks_covered": _weekly("SELECT round(n_weeks + 1e-9, 6) AS n_weeks FROM weeks"),
         "weekly_kpi": _weekly(
             "SELECT avg_weekly_rides, format('{:,}', CAST(round_even(avg_weekly_rides, 0) AS "
             "BIGINT)) AS weekly_rides_text FROM (SELECT round(sum(ride_count) "
-            "/ any_value(n_weeks), 6) AS avg_weekly_rides FROM weekly CROSS JOIN weeks)"
+            "/ any_value(n_weeks) + 1e-9, 6) AS avg_weekly_rides FROM weekly CROSS JOIN weeks)"
         ),
         "weekly_member_share": _weekly(_share("member_casual")),
         "weekly_bike_share": _weekly(_share("rideable_type")),
@@ -444,7 +447,7 @@ FROM events""",
             "SELECT months_covered, avg_monthly_rides, format('{:,}', CAST(round_even("
             "avg_monthly_rides, 0) AS BIGINT)) AS monthly_rides_text FROM (SELECT "
             "count(DISTINCT metric_month) AS months_covered, round(sum(ride_count) / "
-            "count(DISTINCT metric_month), 6) AS avg_monthly_rides FROM monthly)"
+            "count(DISTINCT metric_month) + 1e-9, 6) AS avg_monthly_rides FROM monthly)"
         ),
         "monthly_rides_by_member": _monthly(
             "SELECT metric_month, member_casual, sum(ride_count)::BIGINT AS total_rides "
@@ -456,15 +459,15 @@ FROM events""",
         ),
         "yoy_monthly": _yoy(
             "SELECT year, month, member_casual, rideable_type, ride_count, "
-            "round(avg_ride_duration_minutes, 6) AS avg_ride_duration_minutes, "
-            "round(avg_ride_distance_km, 6) AS avg_ride_distance_km, "
-            "round(avg_speed_kmh, 6) AS avg_speed_kmh FROM yoy"
+            "round(avg_ride_duration_minutes + 1e-9, 6) AS avg_ride_duration_minutes, "
+            "round(avg_ride_distance_km + 1e-9, 6) AS avg_ride_distance_km, "
+            "round(avg_speed_kmh + 1e-9, 6) AS avg_speed_kmh FROM yoy"
         ),
         "yoy_yearly": _yoy(
             "SELECT year, sum(ride_count)::BIGINT AS total_rides, "
-            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count), 6) "
+            "round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) + 1e-9, 6) "
             "AS avg_duration, "
-            "round(sum(avg_ride_distance_km * ride_count) / sum(ride_count), 6) AS avg_distance, "
+            "round(sum(avg_ride_distance_km * ride_count) / sum(ride_count) + 1e-9, 6) AS avg_distance, "
             "count(DISTINCT month) AS months_covered FROM yoy GROUP BY year"
         ),
         "yoy_peak_month": _yoy("""
@@ -485,7 +488,7 @@ FROM (SELECT count(DISTINCT month) FILTER (year = 2024) AS months_2024,
         ),
         "yoy_change": _yoy(f"""
 SELECT month, rides_2024, rides_2025,
-  round(CASE WHEN rides_2024 > 0 THEN (rides_2025 - rides_2024) / rides_2024::DOUBLE * 100 END, 6)
+  round(CASE WHEN rides_2024 > 0 THEN (rides_2025 - rides_2024) / rides_2024::DOUBLE * 100 END + 1e-9, 6)
     AS yoy_pct, {_LABELS} AS month_label
 FROM (
   SELECT month,
@@ -503,12 +506,12 @@ FROM (
         ),
         "yoy_duration_by_month": _yoy(
             f"SELECT year, month, avg_duration, {_LABELS} AS month_label FROM (SELECT year, month,"
-            " round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count), 6) "
+            " round(sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) + 1e-9, 6) "
             "AS avg_duration FROM yoy GROUP BY ALL)"
         ),
         "yoy_distance_by_month": _yoy(
             f"SELECT year, month, avg_distance, {_LABELS} AS month_label FROM (SELECT year, month,"
-            " round(sum(avg_ride_distance_km * ride_count) / sum(ride_count), 6) "
+            " round(sum(avg_ride_distance_km * ride_count) / sum(ride_count) + 1e-9, 6) "
             "AS avg_distance FROM yoy GROUP BY ALL)"
         ),
     }

@@ -29,10 +29,15 @@ NARROW = (RUNS[0][0], RUNS[1][1])
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Computed doubles rounded, because engines add them in different orders."""
+    """Computed doubles rounded, because engines add them in different orders.
+
+    A mean of, say, 32 whole-second durations can lie exactly between two
+    roundings, where the order of addition decides. The SQL and this function
+    both add a billionth first, which settles such values one way.
+    """
     return df.withColumns(
         {
-            f.name: F.round(f.name, places)
+            f.name: F.round(F.col(f.name) + 1e-9, places)
             for f in df.schema
             if f.dataType == T.DoubleType() and not f.name.endswith(("_lat", "_lng"))
         }
