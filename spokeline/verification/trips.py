@@ -115,7 +115,8 @@ def write_archives(trips: DataFrame, folder: str) -> None:
 
 
 def _numbered(prefix: str, number: Column, suffix: str = "") -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"), F.lit(suffix))
+    ending = [F.lit(suffix)] if suffix else []
+    return F.concat(F.lit(prefix), number.cast("string"), *ending)
 
 
 def _station_name(number: Column) -> Column:
