@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from spokeline.llm import exact_dedup, mixing, quality, sharding
+from spokeline.llm import exact_dedup, mixing, pieces, quality, sharding, token_counts, token_files
 from spokeline.llm.tables import documents
+from spokeline.session import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir), 16)
 
@@ -20,10 +28,21 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch_root(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write_tokens(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), folder)
+    return token_files.read_tokens(spark, folder)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_pieces", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -32,7 +51,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op2_sharding, op4_mixing, op8_exact_dedup, op10_quality_rules)
+    found = (
+        op1_token_counts, op2_sharding, op4_mixing, op5_token_files, op8_exact_dedup, op9_sentencepiece,
+        op10_quality_rules,
+    )
     return {q.__name__: q for q in found}
 
 
