@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokeline.llm import exact_dedup, mixing, pieces, quality, sharding, token_counts, token_files
+from spokeline.llm import (
+    exact_dedup,
+    mixing,
+    near_dedup,
+    pieces,
+    quality,
+    sharding,
+    token_counts,
+    token_files,
+    word_repeats,
+)
 from spokeline.llm.tables import documents
 from spokeline.session import scratch_root
 
@@ -24,6 +34,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir), 16)
 
 
+def op3_word_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_repeats.without_repeats(documents(spark, sf_dir)).drop("kept_text")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -34,6 +48,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir), shingle_words=4)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -52,8 +70,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_token_counts, op2_sharding, op4_mixing, op5_token_files, op8_exact_dedup, op9_sentencepiece,
-        op10_quality_rules,
+        op1_token_counts, op2_sharding, op3_word_repeats, op4_mixing, op5_token_files, op7_near_dedup,
+        op8_exact_dedup, op9_sentencepiece, op10_quality_rules,
     )
     return {q.__name__: q for q in found}
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # What separates words everywhere in this subpackage: space and the five controls 9 to 13.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
+# Parts of a group that may hold a third of all rows.
+SALTS = 64
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,3 +54,21 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint()
+
+
+def with_minimum(df: DataFrame, keys: list[str], value: str, spread: str, name: str = "least") -> DataFrame:
+    """Adds the least ``value`` and the number of rows of each group of equal (non-null) keys.
+
+    Groups are summed per salt of ``spread`` first, and joined back per salt, so
+    a group of any size is dealt over ``SALTS`` tasks.
+    """
+    salted = df.withColumn("salt__", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    group = Window.partitionBy(*keys)
+    totals = (
+        salted.groupBy(*keys, "salt__")
+        .agg(F.min(value).alias("m__"), F.count(F.lit(1)).alias("n__"))
+        .select(
+            *keys, "salt__", F.min("m__").over(group).alias(name), F.sum("n__").over(group).alias(f"{name}_of")
+        )
+    )
+    return salted.join(totals, [*keys, "salt__"]).drop("salt__")
