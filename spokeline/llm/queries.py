@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline.llm import (
+    byte_repeats,
     exact_dedup,
     mixing,
     near_dedup,
@@ -48,6 +49,10 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder)
 
 
+def op6_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_repeats.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(documents(spark, sf_dir), shingle_words=4)
 
@@ -70,8 +75,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (
-        op1_token_counts, op2_sharding, op3_word_repeats, op4_mixing, op5_token_files, op7_near_dedup,
-        op8_exact_dedup, op9_sentencepiece, op10_quality_rules,
+        op1_token_counts, op2_sharding, op3_word_repeats, op4_mixing, op5_token_files, op6_byte_repeats,
+        op7_near_dedup, op8_exact_dedup, op9_sentencepiece, op10_quality_rules,
     )
     return {q.__name__: q for q in found}
 

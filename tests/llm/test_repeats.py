@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from spokeline.llm import batches, word_repeats
+from spokeline.llm import batches, bwt, byte_repeats, word_repeats
 
 from .conftest import as_dicts, sha256, words
 
@@ -62,3 +63,53 @@ def test_word_repeats(docs_of, monkeypatch, size):
 
 def test_word_repeats_of_nothing(docs_of):
     assert word_repeats.without_repeats(docs_of([])).collect() == []
+
+
+def brute_bytes(rows):
+    data = [(i, (t or "").encode()) for i, t in rows]
+    first, out = firsts(data, 50, lambda b: b), []
+    for doc_id, text in data:
+        gone = removed(text, 50, 2**63 if doc_id is None else doc_id, first)
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        out.append((doc_id, len(text), sum(gone), spans, sha256(kept)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("size", [2500, 8 << 20])
+def test_byte_repeats(docs_of, monkeypatch, size):
+    monkeypatch.setattr(batches, "BATCH_BYTES", size)
+    monkeypatch.setattr(byte_repeats, "CHUNK", 700)
+    rng = random.Random(size)
+    rows = corpus(rng, 100) + [(5000 + k, "z" * rng.randrange(45, 130)) for k in range(9)]
+    rows += [(6000, "q" * 300), (6, "q" * 49), (7, "x" + "q" * 60), (6001, "ab" * 200), (8, "ba" * 40)]
+    found = as_dicts(byte_repeats.without_repeats(docs_of(rows)))
+    assert sorted((tuple(r.values())[:5] for r in found), key=str) == brute_bytes(rows)
+
+
+def test_byte_repeats_of_nothing(docs_of):
+    assert byte_repeats.without_repeats(docs_of([])).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merged_transforms_are_the_order_of_all_suffixes(seed):
+    rng = random.Random(seed)
+    shards = [
+        [bytes(rng.choice(b"ab\x00\xf4") for _ in range(rng.randrange(1, 30))) for _ in range(rng.randrange(1, 8))]
+        for _ in range(rng.choice([1, 2, 5]))
+    ]
+    transforms = [bwt.transform(*bwt.suffix_order(s)) for s in shards]
+    string, left, length = bwt.walk(transforms)
+    flat = [s for shard in shards for s in shard]
+    assert length.tolist() == [len(s) for s in flat]
+    suffix = [flat[k][len(flat[k]) - n :] for k, n in zip(string.tolist(), left.tolist())]
+    assert sorted(map(len, suffix)) == sorted(n for s in flat for n in range(len(s) + 1))
+    for depth in (1, 3, 50):
+        at, block = bwt.merge(transforms, depth)
+        cut = [suffix[i][:depth] for i in at.tolist()]
+        ended = [len(suffix[i]) < depth for i in at.tolist()]
+        assert all(x <= y for x, y in zip(cut, cut[1:]))
+        assert sorted(at.tolist()) == list(range(len(suffix)))
+        if depth < 50:
+            same = [x == y and not e and not f for x, y, e, f in zip(cut, cut[1:], ended, ended[1:])]
+            assert same == (np.diff(block) == 0).tolist()
