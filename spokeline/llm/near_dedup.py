@@ -38,6 +38,7 @@ BASE, RATE, LARGEST = 1.1, 20.0, 255
 # How far below the limit a likely similarity may lie and still be confirmed: five standard errors.
 MARGIN = 5 * (0.25 / REGISTERS) ** 0.5
 BLOCK = 256
+SALTS = 8
 
 _ODD = text_hashes.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = text_hashes.mix(np.arange(1001, REGISTERS + 1001, dtype=np.uint64))
@@ -228,13 +229,23 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
 
 
 def _candidates(firsts: DataFrame) -> DataFrame:
-    """Links of a star in every band value that several documents share."""
+    """Links of a star in every band value that several documents share.
+
+    Counts are summed in each task before they are shuffled. Values that several
+    share are a small part of all; each is repeated per salt, so that documents
+    with a very common one are dealt over ``SALTS`` tasks.
+    """
     bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
     banded = firsts.select(
         "doc_id",
-        F.posexplode(F.transform(bands, lambda k: F.xxhash64(F.substring("sketch", k * ROWS + 1, F.lit(ROWS))))),
-    ).toDF("doc_id", "band", "value")
-    starred = with_minimum(banded, ["band", "value"], "doc_id", "doc_id", "hub")
+        F.explode(F.transform(bands, lambda k: F.xxhash64(k, F.substring("sketch", k * ROWS + 1, F.lit(ROWS))))).alias(
+            "value"
+        ),
+    )
+    shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    salted = shared.select("value", "hub", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own_salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    starred = banded.withColumn("salt", own_salt).join(salted, ["value", "salt"])
     return starred.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
