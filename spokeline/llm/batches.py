@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spokeline.llm.shared_files import ship
 from spokeline.llm.tables import parts_for, text_bytes, text_of
 
 BATCH_BYTES = 8 << 20
@@ -27,6 +28,7 @@ NO_ID = 2**63 - 1
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
     """doc_id, text and batch, and the number of batches."""
+    ship(docs.sparkSession)
     n = parts_for(docs.sparkSession, text_bytes(docs), BATCH_BYTES)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("text"))
     spread = F.xxhash64("doc_id", F.octet_length("text"))

@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 
 from spokeline.llm import text_hashes
 from spokeline.llm.components import components
+from spokeline.llm.shared_files import ship
 from spokeline.llm.tables import checkpointed, with_minimum
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-BASE, RATE, LARGEST = 1.1, 20.0, 255
+# Registers of 16 bits: with a small base, sets that share nothing hardly ever agree in one.
+BASE, RATE, LARGEST, REGISTER = 1.001, 20.0, 65535, np.dtype("<u2")
 # How far below the limit a likely similarity may lie and still be confirmed: five standard errors.
 MARGIN = 5 * (0.25 / REGISTERS) ** 0.5
 BLOCK = 256
@@ -60,7 +62,7 @@ def sketch(found: np.ndarray) -> np.ndarray:
         for at in range(0, len(found), 2048):
             least = np.minimum(least, (found[at : at + 2048, None] * _ODD + _ADD).min(axis=0))
     minimum = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**64) / RATE
-    return np.clip(np.floor(1 - np.log(minimum) / np.log(BASE)), 0, LARGEST).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(minimum) / np.log(BASE)), 0, LARGEST).astype(REGISTER)
 
 
 def likely(above: np.ndarray, below: np.ndarray, n: np.ndarray, m: np.ndarray, limit: float) -> np.ndarray:
@@ -152,7 +154,7 @@ def _confirm(percent: int):
             return none
         sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
         size = np.array([len(s) for s in sets])
-        registers = np.stack([np.frombuffer(s, np.uint8) for s in group["sketch"]])
+        registers = np.stack([np.frombuffer(s, REGISTER) for s in group["sketch"]])
         above = np.zeros((len(ids), len(ids)), dtype=np.int32)
         for register in registers.T:
             above += register[:, None] > register[None, :]
@@ -199,6 +201,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     * A null doc_id has no component and is not kept; it links nothing.
     * An empty table gives no rows; further columns are ignored.
     """
+    ship(docs.sparkSession)
     sketched = checkpointed(
         docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
             _sketches(shingle_words), "doc_id long, n_shingles long, digest binary, sketch binary"
@@ -235,13 +238,12 @@ def _candidates(firsts: DataFrame) -> DataFrame:
     share are a small part of all; each is repeated per salt, so that documents
     with a very common one are dealt over ``SALTS`` tasks.
     """
-    bands = F.sequence(F.lit(0), F.lit(BANDS - 1))
-    banded = firsts.select(
-        "doc_id",
-        F.explode(F.transform(bands, lambda k: F.xxhash64(k, F.substring("sketch", k * ROWS + 1, F.lit(ROWS))))).alias(
-            "value"
-        ),
+    width = ROWS * REGISTER.itemsize
+    values = F.transform(
+        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        lambda k: F.xxhash64(k, F.substring("sketch", k * width + 1, F.lit(width))),
     )
+    banded = firsts.select("doc_id", F.explode(values).alias("value"))
     shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     salted = shared.select("value", "hub", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     own_salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spokeline.llm.shared_files import ship
 from spokeline.llm.tables import text_of
 
 SPACE = "▁"
@@ -270,6 +271,7 @@ def encode_decode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
     * Null and empty texts have no pieces. Repeated rows and null doc_ids count
       like others. An empty table gives no rows; further columns are ignored.
     """
+    ship(docs.sparkSession)
     schema = "doc_id long, n_pieces long, ids_crc32 long, decoded string, round_trip boolean"
     schema += ", ids array<int>" * with_ids
     return docs.select(F.col("doc_id").cast("long"), text_of().alias("text")).mapInArrow(_coder(path, with_ids), schema)

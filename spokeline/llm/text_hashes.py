@@ -22,15 +22,28 @@ def words(text: str | None, lower: bool = False) -> list[bytes]:
     return (data.translate(LOWER) if lower else data).split()
 
 
+class _Known(dict):
+    """Digests of words seen lately."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) > 1 << 19:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_known = _Known()
+
+
 def word_digests(found: list[bytes]) -> np.ndarray:
     """A 64-bit digest of each word's bytes, alike on every machine."""
-    import xxhash
+    return np.fromiter(map(_known.__getitem__, found), dtype=np.uint64, count=len(found))
+
 
-    known: dict[bytes, int] = {}
-    digest = xxhash.xxh3_64_intdigest
-    for w in set(found):
-        known[w] = digest(w)
-    return np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
+# An odd factor; fixed, so that digests agree between machines.
+_FACTOR = np.uint64(0x9E3779B97F4A7C17)
 
 
 def runs(digests: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
@@ -39,7 +52,10 @@ def runs(digests: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        total = np.full(n, seed * 0x9E3779B97F4A7C15 & (2**64 - 1), dtype=np.uint64)
-        for i in range(length):
-            total = mix(total * np.uint64(3) + digests[i : i + n])
-    return total
+        if seed:
+            digests = mix(digests + np.uint64(seed))
+        total = digests[:n].copy()
+        for i in range(1, length):
+            total *= _FACTOR
+            total += digests[i : i + n]
+        return mix(total)

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spokeline.llm.shared_files import ship
 from spokeline.llm.tables import checkpointed, text_of
 
 CHUNK = 1 << 16
@@ -219,6 +220,7 @@ def token_counts(
       doc_ids are counted like others. An empty table gives no rows; further
       columns are ignored.
     """
+    ship(docs.sparkSession)
     if overlap <= 2 * MARGIN or chunk < 2 * overlap:
         raise ValueError("chunks need an overlap of more than two margins, and twice the overlap themselves")
     sized = docs.select("doc_id", text_of().alias("text")).withColumn(

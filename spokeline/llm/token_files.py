@@ -9,11 +9,7 @@ its place in the whole.
 
 from __future__ import annotations
 
-import os
-import re
-import uuid
 from collections.abc import Iterator
-from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -21,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spokeline.llm import elias_fano
+from spokeline.llm.shared_files import ship, write_file
 from spokeline.llm.tables import parts_for, text_bytes, text_of
 from spokeline.llm.token_counts import tokenizer
 
@@ -29,24 +26,6 @@ PART_BYTES = 64 << 20
 CACHED_WORDS, CACHED_LENGTH = 1 << 19, 64
 
 
-def write_file(folder: str, name: str, data: bytes) -> None:
-    """Write a file in a shared folder; it is there whole or not at all."""
-    url = urlparse(folder)
-    if url.scheme in ("", "file"):
-        os.makedirs(url.path, exist_ok=True)
-        part = os.path.join(url.path, f".{name}.{uuid.uuid4().hex}")
-        with open(part, "wb") as f:
-            f.write(data)
-        os.replace(part, os.path.join(url.path, name))
-        return
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
-    store.create_dir(path, recursive=True)
-    with store.open_output_stream(f"{path}/{name}") as f:
-        f.write(data)
-
-
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space, word by word.
 
@@ -127,6 +106,7 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 1, file_
       with equal doc_id in any order. An empty table gives no file.
     """
     spark = docs.sparkSession
+    ship(spark)
     parts = parts_for(spark, text_bytes(docs), PART_BYTES)
     files = (
         docs.select("doc_id", text_of().alias("text"))
@@ -155,6 +135,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the files alone."""
+    ship(spark)
     files = spark.read.parquet(f"{folder}/files")
     earlier = Window.partitionBy("part").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range of doc_id.
