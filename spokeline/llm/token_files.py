@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,7 +24,7 @@ from spokeline.llm.token_counts import tokenizer
 
 FILE_IDS = 1 << 22
 PART_BYTES = 64 << 20
-CACHED_WORDS, CACHED_LENGTH = 1 << 19, 64
+CACHED_WORDS, CACHED_LENGTH, TOGETHER = 400_000, 64, 256
 
 
 class WordEncoder:
@@ -31,31 +32,44 @@ class WordEncoder:
 
     Where no token holds white space and nothing before it acts on what follows,
     the ids of a text are those of its words, split at ASCII white space. Words
-    are encoded by the library, and those seen lately are remembered.
+    are encoded by the library, many in one call, and those seen lately are
+    remembered: a full generation of them becomes the older one, which is dropped
+    when the next is full.
     """
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
         self.id_bytes = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         self.seen: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
-        wanted = set().union(*split)
         if len(self.seen) > CACHED_WORDS:
-            self.seen = {}
-        new = [w for w in wanted if w not in self.seen]
-        rare = {}
-        for at in range(0, len(new), 4096):
-            words = new[at : at + 4096]
-            for word, e in zip(words, self.tok.encode_batch([w.decode() for w in words], add_special_tokens=False)):
-                ids = b"".join(i.to_bytes(self.id_bytes, "little") for i in e.ids)
-                (self.seen if len(word) <= CACHED_LENGTH else rare)[word] = ids
-        find = {**self.seen, **rare} if rare and len(rare) > 1000 else None
-        if find is None:
-            seen = self.seen
-            return [b"".join([seen[w] if w in seen else rare[w] for w in words]) for words in split]
-        return [b"".join([find[w] for w in words]) for words in split]
+            self.seen, self.older = {}, self.seen
+        seen, older, new = self.seen, self.older, []
+        for word in set().union(*split).difference(seen):
+            if word in older:
+                seen[word] = older[word]
+            else:
+                new.append(word)
+        for at in range(0, len(new), TOGETHER):
+            some = new[at : at + TOGETHER]
+            seen.update(zip(some, self._encoded(some), strict=True))
+        out = [b"".join(map(seen.__getitem__, words)) for words in split]
+        for word in new:  # long ones are rarely seen again
+            if len(word) > CACHED_LENGTH:
+                del seen[word]
+        return out
+
+    def _encoded(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word from one call on all, cut where the words begin in it."""
+        texts = [w.decode() for w in words]
+        encoding = self.tok.encode(" ".join(texts), add_special_tokens=False)
+        ids = np.array(encoding.ids, dtype=f"<u{self.id_bytes}").tobytes()
+        begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
+        cuts = np.searchsorted([begin for begin, _ in encoding.offsets], begins) * self.id_bytes
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 _encoders: dict[str, WordEncoder] = {}
