@@ -32,7 +32,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 # How much worse than the worst piece an unknown character scores, as in the library.
 UNKNOWN_PENALTY = 10.0
-CACHED_SEGMENTS, CACHED_LENGTH = 1 << 19, 64
+CACHED_SEGMENTS, CACHED_LENGTH, CACHED_PAIRS = 400_000, 64, 1 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -100,6 +100,7 @@ class Pieces:
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.id)
         self.apart: dict[tuple[int, int], bool] = {}
         self.seen: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
         """Segments of a short text by merging the best pair, the leftmost of equals, until none is left."""
@@ -178,16 +179,17 @@ class Pieces:
             return b""
         if not self.splits:
             return self._ids(normal)
-        if len(self.seen) > CACHED_SEGMENTS:
-            self.seen = {}
-        return b"".join([self._stretch(s) for s in _stretches(normal)])
+        if len(self.seen) > CACHED_SEGMENTS:  # a full generation becomes the older one
+            self.seen, self.older = {}, self.seen
+        if len(self.apart) > CACHED_PAIRS:
+            self.apart = {}
+        seen = self.seen
+        return b"".join([seen.get(s) or self._stretch(s) for s in _stretches(normal)])
 
     def _stretch(self, text: str) -> bytes:
-        found = self.seen.get(text)
-        if found is None:
-            found = self._ids(text)
-            if len(text) <= CACHED_LENGTH:
-                self.seen[text] = found
+        found = self.older.get(text) or self._ids(text)
+        if len(text) <= CACHED_LENGTH:
+            self.seen[text] = found
         return found
 
     def decode(self, ids: list[int]) -> str:
