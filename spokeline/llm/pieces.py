@@ -96,6 +96,7 @@ class Pieces:
             self.automaton.add_word(piece, (len(piece), i))
         self.automaton.make_automaton()
         self.floor = min((self.score[i] for i in self.id.values()), default=0.0) - UNKNOWN_PENALTY
+        self.single = {p for p in self.id if len(p) == 1}
         # No piece goes on over a space mark once it has other characters, so texts split there.
         self.splits = not any(SPACE in p.lstrip(SPACE) for p in self.id)
         self.apart: dict[tuple[int, int], bool] = {}
@@ -116,46 +117,50 @@ class Pieces:
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
     def _stays(self, one: int, other: int) -> bool:
-        known = self.apart.get((one, other))
-        if known is None:
-            a, b = self.piece[one], self.piece[other]
-            known = self.apart[one, other] = self.merged(a + b) == [a, b]
+        """Whether a piece stands as it is after another one (-1: after none) when both are merged."""
+        parts = [self.piece[i] for i in (one, other) if i >= 0]
+        known = self.apart[one, other] = self.merged("".join(parts)) == parts
         return known
 
     def _segment(self, text: str) -> list[int]:
         """Piece ids of a normalised text; -1 for each unknown character."""
-        last = [None] * (len(text) + 1)  # id and start of the piece that ends here
-        best = [0.0] + [None] * len(text)
-        done = 0  # positions up to here are settled
-
-        def settle(end: int) -> None:
-            """Positions no piece ends at are reached by one unknown character."""
-            nonlocal done
-            for e in range(done + 1, end + 1):
-                if last[e] is None and (e == 1 or last[e - 1] is not None) and text[e - 1] not in self.id:
-                    last[e], best[e] = (-1, e - 1), best[e - 1] + self.floor
-            done = end
-
+        size = len(text)
+        last, begins = [None] * (size + 1), [0] * (size + 1)  # the piece that ends here, and its start
+        best = [0.0] * (size + 1)
+        last[0] = -1
+        plain, done = self.single.issuperset(text), 0
+        merging, apart, score = self.kind == BPE, self.apart, self.score
         for at, (length, piece) in self.automaton.iter(text):
             end, begin = at + 1, at + 1 - length
-            settle(end - 1)
+            if not plain:
+                self._settle(text, done, at, last, begins, best)
+                done = at
             before = last[begin]
-            if begin and before is None:
+            if before is None:
                 continue
-            if self.kind == UNIGRAM:
-                score = best[begin] + self.score[piece]
-                if best[end] is None or score > best[end]:
-                    best[end], last[end] = score, (piece, begin)
-            elif last[end] is None and (not begin or before[0] < 0 or self._stays(before[0], piece)):
-                best[end], last[end] = 0.0, (piece, begin)
-        settle(len(text))
-        out, end = [], len(text)
+            if merging:
+                if last[end] is None:
+                    stays = apart.get((before, piece))
+                    if self._stays(before, piece) if stays is None else stays:
+                        last[end], begins[end] = piece, begin
+            else:
+                total = best[begin] + score[piece]
+                if last[end] is None or total > best[end]:
+                    last[end], begins[end], best[end] = piece, begin, total
+        if not plain:
+            self._settle(text, done, size, last, begins, best)
+        out, end = [], size
         while end:
-            piece, begin = last[end]
-            out.append(piece)
-            end = begin
+            out.append(last[end])
+            end = begins[end]
         return out[::-1]
 
+    def _settle(self, text: str, done: int, upto: int, last: list, begins: list, best: list) -> None:
+        """Positions after ``done`` that no piece ends at are reached by one unknown character."""
+        for end in range(done + 1, upto + 1):
+            if last[end] is None and last[end - 1] is not None and text[end - 1] not in self.id:
+                last[end], begins[end], best[end] = -1, end - 1, best[end - 1] + self.floor
+
     def _ids(self, text: str) -> bytes:
         """Little-endian 32-bit ids of a normalised stretch."""
         out, at, was_unknown = [], 0, False
