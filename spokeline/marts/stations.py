@@ -32,7 +32,7 @@ def visits_of(trips: DataFrame, side: str) -> DataFrame:
 
 
 def rolled_visits_of(station_visits: DataFrame, side: str) -> DataFrame:
-    """The same from the station visits table, already counted per hour."""
+    """The same from the station visits table, already counted per day."""
     _check_side(side)
     return station_visits.where(F.col("side") == side).select(
         "started_date", "station_name", "visits"

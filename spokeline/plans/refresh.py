@@ -7,6 +7,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spokeline import schemas
 from spokeline.functions import months_in_window, run_window
@@ -45,8 +46,12 @@ def land(trips: DataFrame, landing: str) -> None:
     """Write trip files as Parquet by file month; landing a month again replaces it.
 
     Rows stay in the tasks that read them: no shuffle, and files as large as the input splits.
+    Rows without a file month stop the load before anything is replaced: all of
+    them would share one folder, and the next such load would replace it.
     """
-    sinks.replace_by_key(trips, landing, schemas.LANDING, gather=False)
+    unnamed = F.raise_error(F.lit("trips without a file month can't be landed"))
+    named = trips.withColumn("file_month", F.coalesce(F.col("file_month"), unnamed.cast("string")))
+    sinks.replace_by_key(named, landing, schemas.LANDING, gather=False)
 
 
 def load_raw(
@@ -69,12 +74,17 @@ def build_staging(
     """Clean the window's raw trips and return the report of the checks on them.
 
     Raw is stored by day already, so nothing is shuffled. Days of earlier runs
-    were checked by those runs.
+    were checked by those runs. Days of the window without a valid trip
+    disappear, as raw, which was guarded when it was loaded, is what counts.
     """
     cleaned = staging.clean(where.read(spark, schemas.RAW), start, end)
     cleaned, checked = quality.watch(cleaned, schemas.STAGING)
-    write = sinks.replace if full_refresh else sinks.replace_by_key
-    write(cleaned, where.path(schemas.STAGING), schemas.STAGING, gather=False)
+    path = where.path(schemas.STAGING)
+    if full_refresh:
+        sinks.replace(cleaned, path, schemas.STAGING, gather=False)
+    else:
+        window = run_window(start, end)
+        sinks.replace_window(cleaned, path, schemas.STAGING, window, allow_empty=True, gather=False)
     return quality.watched(spark, checked, schemas.STAGING)
 
 
@@ -83,11 +93,17 @@ def build_daily(
 ) -> None:
     """Write what depends on one day's trips only: both rollups and the hourly report.
 
-    Rows of days outside the window are those of a rebuild over all trips,
-    because staging changes inside the window only.
+    The window's days are replaced as a whole, and rows of other days are those of
+    a rebuild over all trips, because staging changes inside the window only.
     """
     window = staging.raw_in_window(where.read(spark, schemas.STAGING), start, end)
-    write = sinks.replace if full_refresh else sinks.replace_by_key
+
+    def write(rows: DataFrame, path: str, table: schemas.Table) -> None:
+        if full_refresh:
+            sinks.replace(rows, path, table)
+        else:
+            sinks.replace_window(rows, path, table, run_window(start, end), allow_empty=True)
+
     for table, rows in (
         (schemas.USAGE_SUMS, rollups.usage_sums(window)),
         (schemas.STATION_VISITS, rollups.station_visits(window)),
@@ -122,6 +138,8 @@ def refresh(
     *,
     source: str | None = None,
     archives: bool = False,
+    bad_rows: str = "FAILFAST",
+    multi_line: bool = False,
     full_refresh: bool = False,
     allow_empty: bool = False,
     fail_on_check: bool = True,
@@ -129,14 +147,18 @@ def refresh(
     """Files to reports for the months from the one before ``start`` up to ``end``'s.
 
     ``source`` is a folder of trip CSVs, or of zip archives with ``archives``;
-    without it the run starts from what has landed. ``full_refresh`` rebuilds
+    without it the run starts from what has landed. ``bad_rows`` and ``multi_line``
+    are those of ``read_csv``. ``full_refresh`` rebuilds
     staging from this window alone. A failed check stops the run before the
     tables that depend on the checked one are written.
     """
     if source is not None:
         months = months_in_window(start, end)
-        read = trip_files.read_archives if archives else trip_files.read_csv
-        land(read(spark, source, months), where.landing)
+        if archives:
+            trips = trip_files.read_archives(spark, source, months, bad_rows=bad_rows)
+        else:
+            trips = trip_files.read_csv(spark, source, months, multi_line=multi_line, bad_rows=bad_rows)
+        land(trips, where.landing)
     load_raw(spark, where, start, end, allow_empty=allow_empty)
     checked = build_staging(spark, where, start, end, full_refresh=full_refresh)
     if fail_on_check:

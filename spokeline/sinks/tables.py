@@ -5,8 +5,10 @@
 * replace window: all folders of a date window are replaced, those without
   new rows disappear.
 
-Every write is idempotent. Spark commits new files only when all tasks are
-done, so a lost executor repeats its tasks and never leaves half a folder.
+Every write is idempotent, and a write that fails leaves the stored rows as they
+were. Spark moves new files into place only when all tasks are done, so a lost
+executor repeats its tasks and never leaves half a folder; old folders and files
+go after that. A run that stops in between is completed by running it again.
 """
 
 from __future__ import annotations
@@ -39,23 +41,46 @@ def laid_out(df: DataFrame, table: schemas.Table, *, gather: bool = True) -> Dat
     return rows.sortWithinPartitions(*order) if order else rows
 
 
-def _writer(rows: DataFrame, table: schemas.Table, overwrite: str):
-    writer = (
+def _write_folders(rows: DataFrame, path: str, table: schemas.Table) -> set[str]:
+    """Replace the folders that get rows, and return the values of their key."""
+    key = table.partition_by
+    # Keys are noted while they are written; there is one per folder. The note is
+    # taken last in the plan, where an empty input does not remove it.
+    seen = Observation(f"{table.name} folders")
+    rows = rows.observe(
+        seen, F.array_join(F.collect_set(F.col(key).cast("string")), ",").alias("keys")
+    )
+    (
         rows.write.mode("overwrite")
         .option("compression", "zstd")
-        .option("partitionOverwriteMode", overwrite)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(key)
+        .parquet(path)
     )
-    return writer.partitionBy(table.partition_by) if table.partition_by else writer
+    return {k for k in (seen.get["keys"] or "").split(",") if k}
 
 
 def replace(df: DataFrame, path: str, table: schemas.Table, *, gather: bool = True) -> None:
-    """Write the table anew."""
-    _writer(laid_out(df, table, gather=gather), table, "static").parquet(path)
+    """Make the table exactly the new rows.
+
+    Folders without new rows are dropped after the others were written. A table
+    without folders is written beside the old one, which it then replaces.
+    """
+    rows, spark = laid_out(df, table, gather=gather), df.sparkSession
+    if table.partition_by:
+        written = _write_folders(rows, path, table)
+        for value in stored_keys(spark, path, table.partition_by):
+            if value not in written:
+                _drop_folder(spark, f"{path}/{table.partition_by}={value}")
+        return
+    new, old = f"{path}__new", f"{path}__old"
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(new)
+    _swap(spark, new, path, old)
 
 
 def replace_by_key(df: DataFrame, path: str, table: schemas.Table, *, gather: bool = True) -> None:
     """Replace the folders the new rows belong to."""
-    _writer(laid_out(df, table, gather=gather), table, "dynamic").parquet(path)
+    _write_folders(laid_out(df, table, gather=gather), path, table)
 
 
 def replace_window(
@@ -69,30 +94,25 @@ def replace_window(
 ) -> int:
     """Replace every day of a half-open window and return how many days got rows.
 
-    New days are written first and stale days dropped afterwards; a run that
-    stops in between is completed by running it again. A window without any
-    new row is refused unless ``allow_empty``, so that a missing source does
-    not erase history.
+    New days are written first and stale days dropped afterwards. Unless
+    ``allow_empty``, no day is dropped if the window got no row at all, or if one
+    of its months has stored days and got no row: a source that is missing, in
+    whole or for a month, does not erase history.
     """
     first, stop = window
     spark, key = df.sparkSession, table.partition_by
-    rows = laid_out(
-        df.where((F.col(key) >= F.lit(first)) & (F.col(key) < F.lit(stop))), table, gather=gather
-    )
-    # Days are noted while they are written; the window bounds their number. The
-    # note is taken last in the plan, where an empty input does not remove it.
-    seen = Observation(f"{table.name} window")
-    rows = rows.observe(
-        seen, F.array_join(F.collect_set(F.col(key).cast("string")), ",").alias("days")
-    )
-    _writer(rows, table, "dynamic").parquet(path)
-    written = {date.fromisoformat(d) for d in (seen.get["days"] or "").split(",") if d}
-    if not written and not allow_empty:
-        raise EmptyWindowError(f"no rows for {first} up to {stop}; nothing was replaced")
-    stored = [date.fromisoformat(d) for d in stored_keys(spark, path, key)]
-    stale = [d for d in stored if first <= d < stop and d not in written]
-    for day in stale:
-        _drop_folder(spark, f"{path}/{key}={day}")
+    inside = df.where((F.col(key) >= F.lit(first)) & (F.col(key) < F.lit(stop)))
+    written = _write_folders(laid_out(inside, table, gather=gather), path, table)
+    stored = [d for d in stored_keys(spark, path, key) if str(first) <= d < str(stop)]
+    if not allow_empty:
+        if not written:
+            raise EmptyWindowError(f"no rows for {first} up to {stop}; nothing was replaced")
+        lost = sorted({d[:7] for d in stored} - {d[:7] for d in written})
+        if lost:
+            raise EmptyWindowError(f"no rows for {', '.join(lost)}, which are stored; no day was dropped")
+    for day in stored:
+        if day not in written:
+            _drop_folder(spark, f"{path}/{key}={day}")
     return len(written)
 
 
@@ -107,6 +127,7 @@ def stored_keys(spark: SparkSession, path: str, key: str) -> list[str]:
 
 
 def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system through the session's JVM: classic sessions only, not Spark Connect."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -114,3 +135,15 @@ def _hadoop_path(spark: SparkSession, path: str):
 def _drop_folder(spark: SparkSession, path: str) -> None:
     folder, filesystem = _hadoop_path(spark, path)
     filesystem.delete(folder, True)
+
+
+def _swap(spark: SparkSession, new: str, path: str, old: str) -> None:
+    """Put a finished folder in place of another one, by renaming."""
+    (new_, filesystem), (path_, _), (old_, _) = (_hadoop_path(spark, p) for p in (new, path, old))
+    filesystem.delete(old_, True)
+    if filesystem.exists(path_) and not filesystem.rename(path_, old_):
+        raise OSError(f"could not move {path} aside")
+    if not filesystem.rename(new_, path_):
+        filesystem.rename(old_, path_)
+        raise OSError(f"could not move {new} to {path}")
+    filesystem.delete(old_, True)

@@ -8,7 +8,9 @@ entry points, so one member cannot be split further.
 from __future__ import annotations
 
 import fnmatch
+import os
 import posixpath
+import re
 import sys
 import zipfile
 from collections.abc import Iterator
@@ -44,10 +46,24 @@ def is_trip_member(name: str) -> bool:
     )
 
 
+def filesystem_uri(folder: str) -> str:
+    """The folder as Arrow's file systems name it: s3 for s3a and s3n, whole local paths."""
+    scheme, mark, rest = folder.partition("://")
+    if not mark:
+        if folder.startswith("file:"):
+            return f"file://{folder.removeprefix('file:')}"
+        return f"file://{os.path.abspath(folder)}"
+    known = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+    scheme = known.get(scheme, scheme)
+    if scheme not in ("file", "s3", "gs", "hdfs", "abfs", "abfss"):
+        raise ValueError(f"archives can't be read from {scheme}:// paths")
+    return f"{scheme}://{rest}"
+
+
 def _filesystem(folder: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(filesystem_uri(folder))
 
 
 @dataclass
@@ -57,7 +73,10 @@ class Member(InputPartition):
 
 
 class TripArchiveSource(DataSource):
-    """Options: ``path`` of the folder, ``months`` as yyyyMM separated by commas or ``*``."""
+    """Options: ``path`` of the folder, ``months`` as yyyyMM separated by commas or ``*``,
+    ``bad_rows`` (FAILFAST, or PERMISSIVE: a number that cannot be read is NULL) and
+    ``unnamed`` (whether archives without a month in their names are allowed).
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -67,17 +86,28 @@ class TripArchiveSource(DataSource):
         return _SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return TripArchiveReader(self.options["path"], self.options.get("months", "*"), schema)
+        return TripArchiveReader(
+            self.options["path"],
+            self.options.get("months", "*"),
+            schema,
+            permissive=self.options.get("bad_rows", "FAILFAST").upper() == "PERMISSIVE",
+            unnamed=self.options.get("unnamed", "refused") == "allowed",
+        )
 
 
 class TripArchiveReader(DataSourceReader):
-    def __init__(self, folder: str, months: str, schema: StructType) -> None:
-        self.folder = folder
+    def __init__(
+        self, folder: str, months: str, schema: StructType, *, permissive: bool, unnamed: bool
+    ) -> None:
+        self.folder, self.permissive, self.unnamed = folder, permissive, unnamed
         self.globs = [f"{m}*.zip" if m != "*" else "*.zip" for m in months.split(",")]
         self.columns = [(f.name, f.dataType.simpleString()) for f in schema.fields[:-2]]
 
     def partitions(self) -> list[Member]:
-        """Members of all archives. Reads each archive's directory only, which sits at its end."""
+        """Members of all archives. Reads each archive's directory only, which sits at its end.
+
+        Done on the driver: metadata of one archive a month.
+        """
         from pyarrow import fs
 
         filesystem, root = _filesystem(self.folder)
@@ -96,6 +126,9 @@ class TripArchiveReader(DataSourceReader):
         missing = [g for g in self.globs if not fnmatch.filter(found_in, g)]
         if missing:
             raise FileNotFoundError(f"no archived CSV files in {self.folder}: {missing}")
+        unnamed = [a for a in found_in if not re.match(r"\d{6}", a)]
+        if unnamed and not self.unnamed:
+            raise ValueError(f"no month in the names of {unnamed[:5]}; give file_month")
         return members
 
     def read(self, partition: Member) -> Iterator:
@@ -110,15 +143,20 @@ class TripArchiveReader(DataSourceReader):
             zipfile.ZipFile(f) as archive,
             archive.open(partition.name) as stream,
         ):
+            header = stream.readline().decode("utf-8-sig").strip()
+            if header and [c.strip().strip('"') for c in header.split(",")] != names:
+                raise ValueError(f"the header of {partition.name} is not {','.join(names)}: {header}")
             try:
                 batches = csv.open_csv(
                     stream,
                     read_options=csv.ReadOptions(
-                        column_names=names, skip_rows=1, block_size=4 << 20
+                        column_names=names, block_size=4 << 20
                     ),
                     parse_options=csv.ParseOptions(newlines_in_values=True),
                     convert_options=csv.ConvertOptions(
-                        column_types={n: types[t] for n, t in self.columns},
+                        column_types={
+                            n: pa.string() if self.permissive else types[t] for n, t in self.columns
+                        },
                         null_values=[""],
                         strings_can_be_null=True,
                         quoted_strings_can_be_null=False,
@@ -129,6 +167,8 @@ class TripArchiveReader(DataSourceReader):
                     return
                 raise
             for batch in batches:
+                if self.permissive:
+                    batch = self._numbers_or_null(batch)
                 origin = [posixpath.basename(partition.archive), partition.name]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -137,3 +177,15 @@ class TripArchiveReader(DataSourceReader):
                     ],
                     names=[*names, "archive", "member"],
                 )
+
+    def _numbers_or_null(self, batch):
+        import pandas as pd
+        import pyarrow as pa
+
+        columns = []
+        for column, (_, kind) in zip(batch.columns, self.columns):
+            if kind == "double":
+                values = pd.to_numeric(column.to_pandas(), errors="coerce")
+                column = pa.array(values, pa.float64(), from_pandas=True)
+            columns.append(column)
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,17 +23,23 @@ def read_csv(
     *,
     multi_line: bool = False,
     bad_rows: str = "FAILFAST",
+    file_month: str | None = None,
 ) -> DataFrame:
     """All trip CSVs below a folder, or those of the given months, each of which must be there.
 
     A number that cannot be read stops the load (``bad_rows="PERMISSIVE"``
     makes it NULL); a time that cannot be read becomes NULL. Files are split
     between tasks, so a line break inside quotes needs ``multi_line=True``,
-    which reads each file in one task.
+    which reads each file in one task. A header that differs from the declared
+    columns stops the load.
+
+    ``file_month`` is the month for files whose names begin with none; without it they
+    are refused, because a month landed again replaces what has landed for it.
     """
     lines = (
         spark.read.schema(schemas.CSV_FIELDS)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
         # No field holds this, so an empty field is NULL and a quoted empty one is "".
         .option("nullValue", "\u0000")
@@ -46,20 +53,34 @@ def read_csv(
     missing = [m for m in months or [""] if not any(f.startswith(m) for f in files)]
     if missing:
         raise FileNotFoundError(f"no CSV files in {folder} {' '.join(missing)}".rstrip())
-    return _typed(lines, F.col("_metadata.file_name"))
+    unnamed = [f for f in files if not re.match(FILE_MONTH_PATTERN, f)]
+    if unnamed and file_month is None:
+        raise ValueError(f"no month in the names of {unnamed[:5]}; give file_month")
+    return _typed(lines, F.col("_metadata.file_name"), file_month)
 
 
 def read_archives(
-    spark: SparkSession, folder: str, months: Sequence[str] | None = None
+    spark: SparkSession,
+    folder: str,
+    months: Sequence[str] | None = None,
+    *,
+    bad_rows: str = "FAILFAST",
+    file_month: str | None = None,
 ) -> DataFrame:
-    """The CSV members of the zip archives below a folder, of all or of the given months."""
+    """The CSV members of the zip archives below a folder, of all or of the given months.
+
+    ``bad_rows`` and ``file_month`` are as for ``read_csv``. Line breaks inside quotes
+    are read as they are: a member is one task anyway.
+    """
     trip_archive.register(spark)
     lines = (
         spark.read.format(trip_archive.FORMAT)
         .option("months", ",".join(months) if months is not None else "*")
+        .option("bad_rows", bad_rows)
+        .option("unnamed", "allowed" if file_month is not None else "refused")
         .load(folder)
     )
-    return _typed(lines, F.col("archive"))
+    return _typed(lines, F.col("archive"), file_month)
 
 
 def read_landed(spark: SparkSession, folder: str, name_glob: str = "*.parquet") -> DataFrame:
@@ -72,8 +93,9 @@ def read_landed(spark: SparkSession, folder: str, name_glob: str = "*.parquet")
     )
 
 
-def _typed(lines: DataFrame, file_name: Column) -> DataFrame:
+def _typed(lines: DataFrame, file_name: Column, file_month: str | None) -> DataFrame:
     """Text fields to trip columns, with the month of the file they came from."""
+    named = F.nullif(F.regexp_extract(file_name, FILE_MONTH_PATTERN, 1), F.lit(""))
     return lines.select(
         *[
             F.col(c.name).try_cast(c.dtype).alias(c.name)
@@ -81,7 +103,7 @@ def _typed(lines: DataFrame, file_name: Column) -> DataFrame:
             else F.col(c.name)
             for c in schemas.TRIPS.columns
         ],
-        F.nullif(F.regexp_extract(file_name, FILE_MONTH_PATTERN, 1), F.lit("")).alias("file_month"),
+        F.coalesce(named, F.lit(file_month)).alias("file_month"),
     )
 
 

@@ -152,8 +152,16 @@ _REPORT_MEASURES = """ride_count, unique_start_stations, unique_end_stations,
   round(avg_speed_kmh + 1e-9, 6) AS avg_speed_kmh"""
 
 
-def _with(*tables: str, select: str) -> str:
-    return "WITH " + ",".join((TRIPS, *tables)) + "\n" + select
+# Trips moved to days 1, 11, 21 and 31, for the tables with a folder per day.
+_BACK = "to_days(CAST((day(started_at) - 1) % 10 AS INTEGER))"
+MOVED = TRIPS.replace(
+    "FROM trips",
+    f"FROM (SELECT * REPLACE (started_at - {_BACK} AS started_at, ended_at - {_BACK} AS ended_at) FROM trips)",
+)
+
+
+def _with(*tables: str, select: str, trips: str = TRIPS) -> str:
+    return "WITH " + ",".join((trips, *tables)) + "\n" + select
 
 
 def _hourly(select: str) -> str:
@@ -369,13 +377,22 @@ FROM events""",
         "window_replace": _with(select=f"SELECT {_RAW_COLUMNS} FROM raw"),
         "delete_insert": _staging(f"SELECT {_STAGING_COLUMNS} FROM staging"),
         "full_refresh": _with(NARROW, select=f"SELECT {_STAGING_COLUMNS} FROM narrow"),
-        # Two monthly runs cover the three months of the narrow window.
+        "refreshed_after_correction": _with(
+            STAGING,
+            "corrected AS (SELECT * FROM staging WHERE day(started_date) <> 11)",
+            HOURLY.replace("FROM staging", "FROM corrected"),
+            select=_HOURLY_REPORT,
+            trips=MOVED,
+        ),
+        "refreshed_hourly_report": _with(STAGING, HOURLY, select=_HOURLY_REPORT, trips=MOVED),
         "refreshed_weekly_report": _with(
-            NARROW, HOURLY.replace("staging", "narrow"), WEEKLY.replace("staging", "narrow"),
-            select=_WEEKLY_REPORT,
+            STAGING, HOURLY, WEEKLY, select=_WEEKLY_REPORT, trips=MOVED
+        ),
+        "refreshed_monthly_report": _with(
+            STAGING, HOURLY, MONTHLY, select=_MONTHLY_REPORT, trips=MOVED
         ),
-        "refreshed_hourly_report": _with(
-            NARROW, HOURLY.replace("staging", "narrow"), select=_HOURLY_REPORT
+        "raw_lineage": _with(
+            select="SELECT source_month, count(*) AS trips, true AS stamped FROM raw GROUP BY source_month"
         ),
         "hourly_report": _hourly(_HOURLY_REPORT),
         "weekly_report": _weekly(_WEEKLY_REPORT),
@@ -519,5 +536,14 @@ FROM (
     sql["landing_roundtrip"] = sql["archive_scan"] = sql["csv_scan"]
     for report in ("hourly", "weekly", "monthly"):
         sql[f"rolled_{report}_report"] = sql[f"{report}_report"]
-    sql["rolled_top_stations_start"] = sql["top_stations_start"]
+    # Other ways to the same rows: rollups and stored reports.
+    for name, same in {
+        "rolled_top_stations_start": "top_stations_start",
+        "rolled_top_stations_end": "top_stations_end",
+        "stored_hourly_kpis": "hourly_kpis",
+        "stored_weekly_kpi": "weekly_kpi",
+        "stored_monthly_kpis": "monthly_kpis",
+        "stored_yoy_change": "yoy_change",
+    }.items():
+        sql[name] = sql[same]
     return sql

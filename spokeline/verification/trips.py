@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from spokeline import schemas
 from spokeline.operators import staging
+from spokeline.sources import trip_archive
 
 # A backfill whose window, 2024-01 up to 2026-02, covers every derived trip.
 START, END = date(2024, 2, 15), date(2026, 3, 15)
@@ -89,6 +90,7 @@ def write_archives(trips: DataFrame, folder: str) -> None:
     A repeated task writes the same archive again, under the same name.
     """
     header = ",".join(trips.columns)
+    where = trip_archive.filesystem_uri(folder)
 
     def pack(batches):
         import zipfile
@@ -97,7 +99,7 @@ def write_archives(trips: DataFrame, folder: str) -> None:
         from pyspark import TaskContext
 
         name = f"202401-{TaskContext.get().partitionId():05d}"
-        filesystem, root = fs.FileSystem.from_uri(folder)
+        filesystem, root = fs.FileSystem.from_uri(where)
         filesystem.create_dir(root, recursive=True)
         with (
             filesystem.open_output_stream(f"{root}/{name}.zip") as out,

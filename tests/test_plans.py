@@ -70,13 +70,9 @@ def test_top_lists_are_cut_before_the_shuffle(spark, stored):
     assert "WindowGroupLimit" in plan(stations.top_of_year(stations.trips_by_year(visits)))
 
 
-WRITING = {"csv_scan", "landing_roundtrip", "archive_scan", "window_replace", "delete_insert",
-           "full_refresh", "refreshed_weekly_report",
-           "refreshed_hourly_report"}
-
-
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - {"archive_scan"}))
 def test_no_python_and_no_pairing_in_the_plan(spark, name):
+    """Queries that write tables are run up to there; the plan is that of what they read back."""
     text = plan(registry.queries()[name](spark, SF))
     for node in ("Python", "CartesianProduct", "NestedLoopJoin", "MapInPandas"):
         assert node not in text

@@ -98,3 +98,46 @@ def test_reports_are_read_in_order_or_empty_when_absent(spark, tmp_path):
     report = tables.load_weekly(spark, path)
     assert [r.day_of_week for r in report.collect()] == [1, 2, 3]
     assert "unique_start_stations" not in report.columns
+
+
+def test_a_month_without_rows_keeps_its_stored_days(spark, raw, tmp_path):
+    path, window = str(tmp_path / "raw"), (date(2024, 2, 1), date(2024, 4, 1))
+    sinks.replace_window(raw(*on("2024-02-10", "2024-03-01")), path, schemas.RAW, window)
+    with pytest.raises(sinks.EmptyWindowError, match="2024-02"):
+        sinks.replace_window(raw(*on("2024-03-05", ride="N")), path, schemas.RAW, window)
+    assert {"R2024-02-10", "N2024-03-05"} <= set(stored(spark, path))
+    sinks.replace_window(raw(*on("2024-03-05", ride="N")), path, schemas.RAW, window, allow_empty=True)
+    assert stored(spark, path) == ["N2024-03-05"]
+
+
+FAILS = "cast(raise_error('lost') as string)"
+
+
+@pytest.mark.parametrize("write", ["replace", "replace_by_key", "replace_window"])
+def test_a_failed_write_leaves_the_table(spark, raw, tmp_path, write):
+    path = str(tmp_path / "raw")
+    sinks.replace(raw(*on("2024-03-01", "2024-03-02")), path, schemas.RAW)
+    bad = raw(*on("2024-03-02", ride="N")).withColumn("ride_id", F.expr(FAILS))
+    more = (WINDOW,) if write == "replace_window" else ()
+    with pytest.raises(Exception, match="lost"):
+        getattr(sinks, write)(bad, path, schemas.RAW, *more)
+    assert stored(spark, path) == ["R2024-03-01", "R2024-03-02"]
+
+
+def test_a_failed_write_leaves_a_table_without_folders(spark, tmp_path):
+    path = str(tmp_path / "weekly")
+    rows = spark.createDataFrame([(1, "", "member", "classic_bike", 1, 1.0, 1.0, 1.0, 1, 1)], schemas.WEEKLY.struct)
+    sinks.replace(rows, path, schemas.WEEKLY)
+    with pytest.raises(Exception, match="lost"):
+        sinks.replace(rows.withColumn("weekday_name", F.expr(FAILS)), path, schemas.WEEKLY)
+    assert tables.read(spark, path, schemas.WEEKLY).count() == 1
+    sinks.replace(rows.unionByName(rows), path, schemas.WEEKLY)
+    assert tables.read(spark, path, schemas.WEEKLY).count() == 2
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["weekly"]
+
+
+def test_replacing_by_nothing_empties_the_table(spark, raw, tmp_path):
+    path = str(tmp_path / "raw")
+    sinks.replace(raw(*on("2024-03-01")), path, schemas.RAW)
+    sinks.replace(raw({}).where("false"), path, schemas.RAW)
+    assert stored(spark, path) == []

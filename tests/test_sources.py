@@ -204,3 +204,64 @@ def test_a_failed_check_stops_the_run_before_the_reports(spark, tmp_path):
     assert not (tmp_path / "warehouse" / "report").exists()
     refresh.refresh(spark, where, *run, fail_on_check=False)
     assert where.read(spark, schemas.WEEKLY).count() == 1
+
+
+def test_files_without_a_month_are_refused_unless_one_is_given(spark, tmp_path):
+    (tmp_path / "trips-p.csv").write_text(text(line("p")))
+    with zipfile.ZipFile(tmp_path / "trips-q.zip", "w") as z:
+        z.writestr("q.csv", text(line("q")))
+    for read in (trip_files.read_csv, trip_files.read_archives):
+        with pytest.raises(Exception, match="no month in the names"):
+            read(spark, str(tmp_path)).collect()
+        assert [r.file_month for r in read(spark, str(tmp_path), file_month="202403").collect()] == ["202403"]
+
+
+def test_rows_without_a_file_month_are_not_landed(spark, trips, tmp_path):
+    landing = str(tmp_path / "landing")
+    named = trips({}).withColumn("file_month", F.lit("202401"))
+    refresh.land(named, landing)
+    with pytest.raises(Exception, match="without a file month"):
+        refresh.land(named.withColumn("file_month", F.lit(None).cast("string")), landing)
+    assert trip_files.read_landed(spark, landing).count() == 1
+
+
+def test_a_swapped_header_stops_the_load(spark, tmp_path):
+    names = schemas.TRIPS.names
+    swapped = [*names]
+    i, j = names.index("start_station_name"), names.index("end_station_name")
+    swapped[i], swapped[j] = names[j], names[i]
+    body = text(line()).replace(HEADER, ",".join(swapped))
+    (tmp_path / "202401-a.csv").write_text(body)
+    with zipfile.ZipFile(tmp_path / "202401-a.zip", "w") as z:
+        z.writestr("a.csv", body)
+    for read in (trip_files.read_csv, trip_files.read_archives):
+        with pytest.raises(Exception, match="(?i)header"):
+            read(spark, str(tmp_path)).collect()
+
+
+def test_bad_numbers_become_null_where_allowed(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "202401-a.zip", "w") as z:
+        z.writestr("a.csv", text(line("a", lat="north"), line("b")))
+    rows = trip_files.read_archives(spark, str(tmp_path), bad_rows="PERMISSIVE").collect()
+    assert {r.ride_id: r.start_lat for r in rows} == {"a": None, "b": 40.7}
+
+
+@pytest.mark.parametrize(
+    ("path", "uri"),
+    [
+        ("s3a://bucket/zip", "s3://bucket/zip"),
+        ("s3://bucket/zip", "s3://bucket/zip"),
+        ("hdfs://host/zip", "hdfs://host/zip"),
+        ("file:/data/zip", "file:///data/zip"),
+        ("file:///data/zip", "file:///data/zip"),
+        ("/data/zip", "file:///data/zip"),
+    ],
+)
+def test_archive_paths(path, uri):
+    assert trip_archive.filesystem_uri(path) == uri
+
+
+def test_other_archive_paths():
+    assert trip_archive.filesystem_uri("zip").startswith("file:///")
+    with pytest.raises(ValueError, match="ftp"):
+        trip_archive.filesystem_uri("ftp://host/zip")
