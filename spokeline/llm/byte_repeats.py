@@ -5,11 +5,13 @@
    name that one document alone holds can't belong to a repeat; batches of
    documents ask buckets which names several hold.
 2. Stretches of text whose windows share such a name are a batch's strings for the
-   name's bucket, each distinct one once. They are a shard, and the batch sends
-   its Burrows-Wheeler transform.
-3. A bucket merges the transforms of all shards by interleave refinement, to a
-   depth of WINDOW symbols. Suffixes left in one block have a common prefix of
-   WINDOW bytes; the smallest document in a block is the answer for its windows.
+   name's bucket, each distinct one once. The batch sends them with the smallest
+   document that holds each.
+3. A bucket takes equal strings of several batches as one, which settles names that
+   stand in one string only. The other strings are shards, one for each batch; the
+   shards' Burrows-Wheeler transforms are merged by interleave refinement, to a depth
+   of WINDOW symbols. Suffixes left in one block have a common prefix of WINDOW
+   bytes; the smallest document in a block is the answer for its windows.
 4. Batches mark the windows whose answer is smaller than their document.
 
 A passage in a third of all documents is one string, or a few, of each batch.
@@ -26,16 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokeline.llm import bwt
-from spokeline.llm.batches import ASKED, NO_ID, SHARED, among, ask, bucket_of, codes, dealt, shared, told
+from spokeline.llm.batches import ASKED, NO_ID, SHARED, among, ask, codes, cut, dealt, shared, told
 from spokeline.llm.text_hashes import mix
 
 WINDOW = 50
 GRAM = 32
 SPAN = WINDOW - GRAM + 1
+# A byte that UTF-8 never has.
+END = b"\xff"
 # Texts of a batch are looked at in chunks of about so many bytes.
 CHUNK = 1 << 20
 
-TRANSFORMS = "bucket int, batch int, transform binary, least binary"
+STRINGS = "bucket int, batch int, strings binary, names binary, least binary"
 ANSWERS = "batch int, bucket int, strings binary, low binary, high binary, least binary"
 ANSWER_TYPE = pa.schema(
     [("batch", pa.int32()), ("bucket", pa.int32())] + [(c, pa.binary()) for c in ("strings", "low", "high", "least")]
@@ -98,7 +102,7 @@ def _probe(buckets: int):
             # A gram names a window if it equals the name of one that it is in.
             best = _slide(np.concatenate([pad, names, pad]), SPAN, np.maximum)
             found = np.flatnonzero(best == grams)
-            digests.append(grams[found])
+            digests.append(mix(grams[found]))  # small ones, spread again
             owners.append(ids[first + owner[found]])
         return ask(docs.column("batch")[0].as_py(), np.concatenate(digests), np.concatenate(owners), None, buckets)
 
@@ -108,33 +112,34 @@ def _probe(buckets: int):
 class Strings:
     """Distinct stretches of a batch by bucket, and where they stand.
 
-    Their order depends on their bytes alone, so each use of a batch numbers them alike.
+    Documents come in order, so each use of a batch numbers them alike.
     """
 
     def __init__(self, ids: np.ndarray, groups, hits: np.ndarray, buckets: int):
         numbers: dict[bytes, int] = {}
-        bucket, number, document, place = [], [], [], []
+        code, number, document, place = [], [], [], []
         for first, texts in groups:
             _, names, owner = _names(texts)
             data = b"".join(texts)
-            starts = np.flatnonzero(among(codes(names, buckets), hits) & (names > 0))
+            spread = codes(mix(names), buckets)
+            starts = np.flatnonzero(among(spread, hits) & (names > 0))
             if not len(starts):
                 continue
             breaks = np.flatnonzero((np.diff(starts) > 1) | (names[starts[1:]] != names[starts[:-1]]))
             low, high = starts[np.r_[0, breaks + 1]], starts[np.r_[breaks, len(starts) - 1]]
             begins = np.r_[0, np.cumsum([len(t) for t in texts])]
-            for b, s, e in zip(bucket_of(names[low], buckets).tolist(), low.tolist(), (high + WINDOW).tolist()):
-                string = data[s:e]
-                known = numbers.setdefault(string, len(numbers))
-                if known == len(bucket):
-                    bucket.append(b)
+            for c, s, e in zip(spread[low].tolist(), low.tolist(), (high + WINDOW).tolist()):
+                known = numbers.setdefault(data[s:e], len(numbers))
+                if known == len(code):
+                    code.append(c)
                 number.append(known)
             document.append(first + owner[low])
             place.append(low - begins[owner[low]])
-        order = sorted(range(len(bucket)), key=list(zip(bucket, numbers)).__getitem__)
-        strings = list(numbers)
-        self.strings = [strings[i] for i in order]
-        self.bucket = np.array([bucket[i] for i in order], dtype=np.int64)
+        self.code = np.array(code, dtype=np.uint64)
+        order = np.argsort(self.code, kind="stable")
+        strings, self.code = list(numbers), self.code[order]
+        self.strings = [strings[i] for i in order.tolist()]
+        self.bucket = (self.code >> np.uint64(32)).astype(np.int64)
         renumbered = np.empty(len(order), dtype=np.int64)
         renumbered[order] = np.arange(len(order))
         none = [np.empty(0, np.int64)]
@@ -145,23 +150,21 @@ class Strings:
         np.minimum.at(self.least, self.number, ids[self.document])
 
 
-def _transforms(buckets: int):
+def _send(buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema(
-            [("bucket", pa.int32()), ("batch", pa.int32()), ("transform", pa.binary()), ("least", pa.binary())]
+            [("bucket", pa.int32()), ("batch", pa.int32())] + [(c, pa.binary()) for c in ("strings", "names", "least")]
         )
         hits = told(answers)
         if not len(hits):
             return schema.empty_table()
         ids, _, groups = _chunks(docs)
         found, rows = Strings(ids, groups, hits, buckets), []
-        names, begins = np.unique(found.bucket, return_index=True)
-        for bucket, begin, end in zip(names.tolist(), begins.tolist(), [*begins[1:].tolist(), len(found.bucket)]):
-            order, symbols = bwt.suffix_order(found.strings[begin:end])
+        for bucket, some in cut(found.code):
             rows.append({
                 "bucket": bucket, "batch": docs.column("batch")[0].as_py(),
-                "transform": bwt.transform(order, symbols).tobytes(),
-                "least": found.least[begin:end].astype("<i8").tobytes(),
+                "strings": END.join(found.strings[some]), "names": found.code[some].astype("<u4").tobytes(),
+                "least": found.least[some].astype("<i8").tobytes(),
             })
         return pa.Table.from_pylist(rows, schema=schema)
 
@@ -170,39 +173,69 @@ def _transforms(buckets: int):
 
 def _merge(table: pa.Table) -> pa.Table:
     """Answers of a bucket: runs of windows of a batch's strings that a smaller document holds."""
-    batches = table.column("batch").to_pylist()
-    shards = [np.frombuffer(t, np.uint8) for t in table.column("transform").to_pylist()]
-    least = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("least").to_pylist()])
-    at, block = bwt.merge(shards, WINDOW)
-    string, left, length = bwt.walk(shards)
-    begins = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
-    several = np.repeat(np.diff(np.r_[begins, len(block)]) > 1, np.diff(np.r_[begins, len(block)]))
-    of_block = np.minimum.reduceat(least[string[at]], begins)[block]
-    # Blocks of shorter common prefixes are left only where the refinement ended early: those have one suffix.
-    told_ = several & (left[at] >= WINDOW) & (of_block < least[string[at]])
-    number, answer = string[at[told_]].astype(np.int64), of_block[told_]
-    offset = length[number] - left[at[told_]]
-    order = np.lexsort((offset, number))
-    number, offset, answer = number[order], offset[order], answer[order]
-    if not len(number):
-        return ANSWER_TYPE.empty_table()
-    new = np.r_[True, (np.diff(number) > 0) | (np.diff(offset) > 1) | (np.diff(answer) != 0)]
-    first = np.flatnonzero(new)
-    last = np.r_[first[1:], len(new)] - 1
-    counts = np.cumsum([0, *[int((s == 0).sum()) for s in shards]])
-    rows, bucket = [], table.column("bucket")[0].as_py()
-    for k, batch in enumerate(batches):
-        low, high = np.searchsorted(number[first], counts[k : k + 2])
-        if low < high:
-            f, t = first[low:high], last[low:high]
+    sent = [x.split(END) for x in table.column("strings").to_pylist()]
+    names = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("names").to_pylist()])
+    local = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("least").to_pylist()])
+    numbers: dict[bytes, int] = {}
+    number = np.array([numbers.setdefault(x, len(numbers)) for strings in sent for x in strings], dtype=np.int64)
+    least = np.full(len(numbers), NO_ID, dtype=np.int64)
+    np.minimum.at(least, number, local)
+    length = np.fromiter(map(len, numbers), dtype=np.int64, count=len(numbers))
+    name = np.empty(len(numbers), dtype=names.dtype)
+    name[number] = names
+    _, member, times = np.unique(name, return_inverse=True, return_counts=True)
+    mixed = times[member] > 1
+    # A string alone under its name answers for all its windows.
+    whole = np.flatnonzero(~mixed)
+    of, low, high, answer = whole, np.zeros(len(whole), np.int64), length[whole] - WINDOW, least[whole]
+    if mixed.any():
+        batch = np.repeat(np.arange(len(sent)), [len(x) for x in sent])
+        first = np.full(len(numbers), len(sent))
+        np.minimum.at(first, number, batch)
+        more = _refined(list(numbers), mixed, first, least)
+        of, low, high, answer = (np.concatenate(x) for x in zip((of, low, high, answer), more))
+    order = np.argsort(of, kind="stable")
+    of, low, high, answer = of[order], low[order], high[order], answer[order]
+    begins = np.searchsorted(of, np.arange(len(numbers) + 1))
+    rows, at, bucket = [], 0, table.column("bucket")[0].as_py()
+    for batch, strings in zip(table.column("batch").to_pylist(), sent):
+        mine = number[at : at + len(strings)]
+        runs = begins[mine + 1] - begins[mine]
+        nth = np.repeat(np.arange(len(strings)), runs)
+        run = np.repeat(begins[mine] - np.cumsum(runs) + runs, runs) + np.arange(len(nth))
+        told_ = answer[run] < local[at : at + len(strings)][nth]
+        at += len(strings)
+        nth, run = nth[told_], run[told_]
+        if len(run):
             rows.append({
-                "batch": batch, "bucket": bucket, "strings": (number[f] - counts[k]).astype("<u4").tobytes(),
-                "low": offset[f].astype("<u4").tobytes(), "high": offset[t].astype("<u4").tobytes(),
-                "least": answer[f].astype("<i8").tobytes(),
+                "batch": batch, "bucket": bucket, "strings": nth.astype("<u4").tobytes(),
+                "low": low[run].astype("<u4").tobytes(), "high": high[run].astype("<u4").tobytes(),
+                "least": answer[run].astype("<i8").tobytes(),
             })
     return pa.Table.from_pylist(rows, schema=ANSWER_TYPE)
 
 
+def _refined(strings: list[bytes], mixed: np.ndarray, shard: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of windows (string, first, last) with one answer each, by merging the shards' transforms."""
+    chosen = np.flatnonzero(mixed)
+    chosen = chosen[np.argsort(shard[chosen], kind="stable")]
+    parts = np.split(chosen, np.flatnonzero(np.diff(shard[chosen])) + 1)
+    shards = [bwt.transform(*bwt.suffix_order([strings[i] for i in part])) for part in parts]
+    least = least[chosen]
+    at, block = bwt.merge(shards, WINDOW)
+    string, left, length = bwt.walk(shards)
+    string, left = string[at], left[at]
+    begins = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+    answer = np.minimum.reduceat(least[string], begins)[block]
+    window = left >= WINDOW
+    string, offset, answer = string[window].astype(np.int64), length[string[window]] - left[window], answer[window]
+    order = np.lexsort((offset, string))
+    string, offset, answer = string[order], offset[order], answer[order]
+    first = np.flatnonzero(np.r_[True, (np.diff(string) > 0) | (np.diff(answer) != 0)])
+    last = np.r_[first[1:], len(string)] - 1
+    return chosen[string[first]], offset[first], offset[last], answer[first]
+
+
 def _marks(ids: np.ndarray, found: Strings, answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, begin and end of all bytes to remove."""
     own = ids[found.document] > found.least[found.number]
@@ -273,8 +306,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     batches, n = dealt(docs)
     hits = batches.groupBy("batch").applyInArrow(_probe(n), ASKED).groupBy("bucket").applyInArrow(shared(False), SHARED)
-    shards = batches.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_transforms(n), TRANSFORMS)
-    answers = shards.groupBy("bucket").applyInArrow(_merge, ANSWERS)
+    strings = batches.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_send(n), STRINGS)
+    answers = strings.groupBy("bucket").applyInArrow(_merge, ANSWERS)
     both = hits.unionByName(answers, allowMissingColumns=True)
     return (
         batches.groupBy("batch")
