@@ -78,6 +78,9 @@ def build_staging(
     disappear, as raw, which was guarded when it was loaded, is what counts.
     """
     cleaned = staging.clean(where.read(spark, schemas.RAW), start, end)
+    differences = quality.schema_differences(cleaned, schemas.STAGING)
+    if differences:
+        raise quality.QualityError("; ".join(differences))
     cleaned, checked = quality.watch(cleaned, schemas.STAGING)
     path = where.path(schemas.STAGING)
     if full_refresh:
