@@ -20,6 +20,7 @@ A passage in a third of all documents is one string, or a few, of each batch.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -163,8 +164,9 @@ def _send(buckets: int):
         for bucket, some in cut(found.code):
             rows.append({
                 "bucket": bucket, "batch": docs.column("batch")[0].as_py(),
-                "strings": END.join(found.strings[some]), "names": found.code[some].astype("<u4").tobytes(),
-                "least": found.least[some].astype("<i8").tobytes(),
+                "strings": zlib.compress(END.join(found.strings[some]), 1),
+                "names": found.code[some].astype("<u4").tobytes(),
+                "least": zlib.compress(found.least[some].astype("<i8").tobytes(), 1),
             })
         return pa.Table.from_pylist(rows, schema=schema)
 
@@ -173,9 +175,10 @@ def _send(buckets: int):
 
 def _merge(table: pa.Table) -> pa.Table:
     """Answers of a bucket: runs of windows of a batch's strings that a smaller document holds."""
-    sent = [x.split(END) for x in table.column("strings").to_pylist()]
+    sent = [zlib.decompress(x).split(END) for x in table.column("strings").to_pylist()]
     names = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("names").to_pylist()])
-    local = np.concatenate([np.frombuffer(x, "<i8") for x in table.column("least").to_pylist()])
+    least = [zlib.decompress(x) for x in table.column("least").to_pylist()]
+    local = np.concatenate([np.frombuffer(x, "<i8") for x in least])
     numbers: dict[bytes, int] = {}
     number = np.array([numbers.setdefault(x, len(numbers)) for strings in sent for x in strings], dtype=np.int64)
     least = np.full(len(numbers), NO_ID, dtype=np.int64)
