@@ -54,12 +54,27 @@ def cut(sorted_codes: np.ndarray) -> Iterator[tuple[int, slice]]:
 
 
 ASKED = "bucket int, batch int, keys binary, flags binary"
-SHARED = "batch int, bucket int, keys binary"
+SHARED = "batch int, bucket int, keys binary, kind int"
+# Flags of a key. What is above the two lowest bits counts its crowd, up to CROWD.
 SEVERAL, MARKED = 1, 2
-
-
-def ask(batch: int, digests: np.ndarray, owners: np.ndarray, marked: np.ndarray | None, buckets: int) -> pa.Table:
-    """One row per bucket: distinct keys, whether several documents hold one, whether one is marked."""
+CROWD = 63
+# Kinds of answers: a shared key, and one with a crowd.
+FEW, CROWDED = 0, 1
+
+
+def ask(
+    batch: int,
+    digests: np.ndarray,
+    owners: np.ndarray,
+    marked: np.ndarray | None,
+    buckets: int,
+    forms: tuple[np.ndarray, np.ndarray] | None = None,
+) -> pa.Table:
+    """One row per bucket: distinct keys, whether several documents hold one, whether one is marked.
+
+    ``forms`` tells forms of a key apart and gives their weights; all the weight of a
+    key's distinct forms above 1 is its crowd in this batch.
+    """
     known = codes(digests, buckets)
     order = np.argsort(known, kind="stable")
     known, owners = known[order], owners[order]
@@ -70,6 +85,8 @@ def ask(batch: int, digests: np.ndarray, owners: np.ndarray, marked: np.ndarray
         flags |= several.astype(np.uint8) * SEVERAL
         if marked is not None:
             flags |= np.maximum.reduceat(marked[order].astype(np.uint8), begins) * MARKED
+        if forms is not None:
+            flags |= (np.minimum(_crowds(begins, *(f[order] for f in forms)), CROWD) << 2).astype(np.uint8)
     known = known[begins]
     rows = [
         {"bucket": b, "batch": batch, "keys": known[s].astype("<u4").tobytes(), "flags": flags[s].tobytes()}
@@ -81,6 +98,19 @@ def ask(batch: int, digests: np.ndarray, owners: np.ndarray, marked: np.ndarray
     )
 
 
+def _crowds(begins: np.ndarray, form: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weight of the distinct forms of each key, less 1."""
+    sizes = np.diff(np.r_[begins, len(form)])
+    total = weight[begins].astype(np.int64)
+    key = np.repeat(np.arange(len(begins)), sizes)
+    some = np.flatnonzero(sizes[key] > 1)
+    some = some[np.lexsort((form[some], key[some]))]
+    again = (key[some][1:] == key[some][:-1]) & (form[some][1:] == form[some][:-1])
+    some = some[np.r_[True, ~again]] if len(some) else some
+    total[sizes > 1] = np.bincount(key[some], weight[some], len(begins))[sizes > 1]
+    return total - 1
+
+
 def shared(need_mark: bool):
     """Answers of a bucket: keys that several documents hold and, if asked for, one marked."""
 
@@ -93,16 +123,17 @@ def shared(need_mark: bool):
         several = (count > 1) | (np.bincount(member, flag & SEVERAL, len(found)) > 0)
         if need_mark:
             several &= np.bincount(member, flag & MARKED, len(found)) > 0
+        crowded = (np.bincount(member, flag >> 2, len(found)) >= CROWD)[member]
         hit, begin, rows = several[member], 0, []
         bucket = table.column("bucket")[0].as_py()
         for batch, k, size in zip(table.column("batch").to_pylist(), keys, sizes):
-            mine = k[hit[begin : begin + size]]
+            own = slice(begin, begin + size)
             begin += size
-            if len(mine):
-                rows.append({"batch": batch, "bucket": bucket, "keys": mine.tobytes()})
-        return pa.Table.from_pylist(
-            rows, schema=pa.schema([("batch", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
-        )
+            for kind, of_kind in ((FEW, hit[own] & ~crowded[own]), (CROWDED, hit[own] & crowded[own])):
+                if of_kind.any():
+                    rows.append({"batch": batch, "bucket": bucket, "keys": k[of_kind].tobytes(), "kind": kind})
+        types = [("batch", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("kind", pa.int32())]
+        return pa.Table.from_pylist(rows, schema=pa.schema(types))
 
     return answer
 

@@ -6,7 +6,11 @@
    documents ask buckets which names several hold.
 2. Stretches of text whose windows share such a name are a batch's strings for the
    name's bucket, each distinct one once. The batch sends them with the smallest
-   document that holds each.
+   document that holds each. Where a passage begins or ends, each document has a
+   stretch of its own, with some of its context, under a name that all share. Names
+   with such a crowd of distinct stretches are therefore split: batches ask once more,
+   with digests of their windows, and a window that several documents hold is a
+   string by itself, for its own digest's bucket.
 3. A bucket takes equal strings of several batches as one, which settles names that
    stand in one string only. The other strings are shards, one for each batch; the
    shards' Burrows-Wheeler transforms are merged by interleave refinement, to a depth
@@ -14,7 +18,9 @@
    bytes; the smallest document in a block is the answer for its windows.
 4. Batches mark the windows whose answer is smaller than their document.
 
-A passage in a third of all documents is one string, or a few, of each batch.
+So a bucket gets at most CROWD stretches (of SPAN windows) of a name, and one more
+from each batch, or one window of each batch, though a third of all documents share
+a passage.
 """
 
 from __future__ import annotations
@@ -29,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokeline.llm import bwt
-from spokeline.llm.batches import ASKED, NO_ID, SHARED, among, ask, codes, cut, dealt, shared, told
+from spokeline.llm.batches import ASKED, CROWDED, NO_ID, SHARED, among, ask, codes, cut, dealt, shared, told
 from spokeline.llm.text_hashes import mix
 
 WINDOW = 50
@@ -39,6 +45,8 @@ SPAN = WINDOW - GRAM + 1
 END = b"\xff"
 # Texts of a batch are looked at in chunks of about so many bytes.
 CHUNK = 1 << 20
+# Besides batches' kinds of answers: a window that several documents hold.
+ALONE = 2
 
 STRINGS = "bucket int, batch int, strings binary, names binary, least binary"
 ANSWERS = "batch int, bucket int, strings binary, low binary, high binary, least binary"
@@ -91,76 +99,154 @@ def _names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, names, owner
 
 
+def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each stretch with one name."""
+    change = np.flatnonzero(names[1:] != names[:-1])
+    low, high = np.r_[0, change + 1], np.r_[change, len(names) - 1]
+    inside = names[low] > 0
+    return low[inside], high[inside]
+
+
+def _ends(grams: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Digests of the grams that begin and end the windows from low to high; all of a single window's bytes."""
+    with np.errstate(over="ignore"):
+        return mix(mix(grams[low]) * np.uint64(3) + grams[high + SPAN - 1])
+
+
 def _probe(buckets: int):
     def run(docs: pa.Table) -> pa.Table:
         ids, _, groups = _chunks(docs)
         digests, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        forms, weights = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         for first, texts in groups:
             grams, names, owner = _names(texts)
             if not len(names):
                 continue
-            pad = np.zeros(SPAN - 1, dtype=np.uint64)
-            # A gram names a window if it equals the name of one that it is in.
-            best = _slide(np.concatenate([pad, names, pad]), SPAN, np.maximum)
-            found = np.flatnonzero(best == grams)
-            digests.append(mix(grams[found]))  # small ones, spread again
-            owners.append(ids[first + owner[found]])
-        return ask(docs.column("batch")[0].as_py(), np.concatenate(digests), np.concatenate(owners), None, buckets)
+            low, high = _runs(names)
+            digests.append(mix(names[low]))  # small ones, spread again
+            owners.append(ids[first + owner[low]])
+            forms.append(_ends(grams, low, high) + (high - low).astype(np.uint64))
+            weights.append(1 + (high - low) // SPAN)
+        found, owner, *kinds = (np.concatenate(x) for x in (digests, owners, forms, weights))
+        return ask(docs.column("batch")[0].as_py(), found, owner, None, buckets, kinds)
 
     return run
 
 
+def _probe_windows(buckets: int):
+    """Asks about the windows of crowded names."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        crowded = told(_of_kind(answers, CROWDED))
+        digests, owners = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        ids, _, groups = _chunks(docs) if len(crowded) else ((), (), ())
+        for first, texts in groups:
+            grams, names, owner = _names(texts)
+            if not len(names):
+                continue
+            low, high = _runs(names)
+            mine = among(codes(mix(names[low]), buckets), crowded)
+            low, times = low[mine], (high - low + 1)[mine]
+            window = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+            digests.append(_ends(grams, window, window))
+            owners.append(ids[first + owner[window]])
+        batch = docs.column("batch")[0].as_py() if len(crowded) else None
+        return ask(batch, np.concatenate(digests), np.concatenate(owners), None, buckets)
+
+    return run
+
+
+def _of_kind(answers: pa.Table, kind: int) -> pa.Table:
+    return answers.filter(pc.equal(answers.column("kind"), kind))
+
+
 class Strings:
-    """Distinct stretches of a batch by bucket, and where they stand.
+    """Distinct stretches of a batch, or windows of crowded ones, by bucket, and where they stand.
 
     Documents come in order, so each use of a batch numbers them alike.
     """
 
-    def __init__(self, ids: np.ndarray, groups, hits: np.ndarray, buckets: int):
+    def __init__(self, ids: np.ndarray, groups, answers: pa.Table, buckets: int):
+        hits = told(answers.filter(pc.less(answers.column("kind"), ALONE)))
         numbers: dict[bytes, int] = {}
         code, number, document, place = [], [], [], []
         for first, texts in groups:
             _, names, owner = _names(texts)
             data = b"".join(texts)
-            spread = codes(mix(names), buckets)
-            starts = np.flatnonzero(among(spread, hits) & (names > 0))
-            if not len(starts):
+            low, high = _runs(names) if len(names) else (names, names)
+            spread = codes(mix(names[low]), buckets)
+            hit = among(spread, hits)
+            if not hit.any():
                 continue
-            breaks = np.flatnonzero((np.diff(starts) > 1) | (names[starts[1:]] != names[starts[:-1]]))
-            low, high = starts[np.r_[0, breaks + 1]], starts[np.r_[breaks, len(starts) - 1]]
+            low, high, spread = low[hit], high[hit], spread[hit]
             begins = np.r_[0, np.cumsum([len(t) for t in texts])]
-            for c, s, e in zip(spread[low].tolist(), low.tolist(), (high + WINDOW).tolist()):
+            for c, s, e in zip(spread.tolist(), low.tolist(), (high + WINDOW).tolist()):
                 known = numbers.setdefault(data[s:e], len(numbers))
                 if known == len(code):
                     code.append(c)
                 number.append(known)
             document.append(first + owner[low])
             place.append(low - begins[owner[low]])
-        self.code = np.array(code, dtype=np.uint64)
-        order = np.argsort(self.code, kind="stable")
-        strings, self.code = list(numbers), self.code[order]
+        none = [np.empty(0, np.int64)]
+        number = np.array(number, dtype=np.int64)
+        document, place = np.concatenate(none + document), np.concatenate(none + place)
+        strings, code = list(numbers), np.array(code, dtype=np.uint64)
+        crowded = among(code, told(_of_kind(answers, CROWDED)))
+        if crowded.any():
+            strings, code, of, offset = _split(strings, code, crowded, told(_of_kind(answers, ALONE)), buckets)
+            # of: the strings of each stretch, in order
+            where = np.searchsorted(of[0], np.arange(len(numbers) + 1))
+            times = (where[1:] - where[:-1])[number]
+            part = np.repeat(where[number] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            document, place = np.repeat(document, times), np.repeat(place, times) + offset[part]
+            number = of[1][part]
+        order = np.argsort(code, kind="stable")
+        self.code = code[order]
         self.strings = [strings[i] for i in order.tolist()]
         self.bucket = (self.code >> np.uint64(32)).astype(np.int64)
         renumbered = np.empty(len(order), dtype=np.int64)
         renumbered[order] = np.arange(len(order))
-        none = [np.empty(0, np.int64)]
-        self.number = renumbered[number] if number else none[0]
-        self.document, self.place = np.concatenate(none + document), np.concatenate(none + place)
+        self.number, self.document, self.place = renumbered[number], document, place
         self.length = np.array([len(s) for s in self.strings], dtype=np.int64)
         self.least = np.full(len(order), NO_ID, dtype=np.int64)
         np.minimum.at(self.least, self.number, ids[self.document])
 
 
+def _split(strings: list[bytes], code: np.ndarray, crowded: np.ndarray, alone: np.ndarray, buckets: int):
+    """Stretches, with the shared windows of crowded ones instead of them.
+
+    Returns the strings and their codes, each stretch beside a string in it, and where that begins.
+    """
+    few, many = np.flatnonzero(~crowded), np.flatnonzero(crowded)
+    texts = [strings[i] for i in many.tolist()]
+    grams, names, owner = _names(texts)
+    begins = np.cumsum([0] + [len(t) for t in texts])
+    at = np.flatnonzero(names > 0)
+    spread = codes(_ends(grams, at, at), buckets)
+    hit = among(spread, alone)
+    at, spread, data = at[hit], spread[hit], b"".join(texts)
+    numbers: dict[bytes, int] = {}
+    part = [numbers.setdefault(data[i : i + WINDOW], len(numbers)) for i in at.tolist()]
+    part = np.array(part, dtype=np.int64)
+    codes_ = np.empty(len(numbers), dtype=np.uint64)
+    codes_[part] = spread
+    stretch = np.r_[few, many[owner[at]]]
+    string = np.r_[np.arange(len(few)), len(few) + part]
+    offset = np.r_[np.zeros(len(few), np.int64), at - begins[owner[at]]]
+    order = np.argsort(stretch, kind="stable")
+    strings = [strings[i] for i in few.tolist()] + list(numbers)
+    return strings, np.r_[code[few], codes_], (stretch[order], string[order]), offset[order]
+
+
 def _send(buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         schema = pa.schema(
             [("bucket", pa.int32()), ("batch", pa.int32())] + [(c, pa.binary()) for c in ("strings", "names", "least")]
         )
-        hits = told(answers)
-        if not len(hits):
+        if not answers.num_rows:
             return schema.empty_table()
         ids, _, groups = _chunks(docs)
-        found, rows = Strings(ids, groups, hits, buckets), []
+        found, rows = Strings(ids, groups, answers, buckets), []
         for bucket, some in cut(found.code):
             rows.append({
                 "bucket": bucket, "batch": docs.column("batch")[0].as_py(),
@@ -267,10 +353,9 @@ def _remove(buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         ids, texts, groups = _chunks(docs)
         rows = answers.to_pylist()
-        hits = told(answers.filter(pc.is_valid(answers.column("keys")))) if rows else np.empty(0, np.uint64)
         document = np.empty(0, np.int64)
-        if len(hits):
-            found = Strings(ids, groups, hits, buckets)
+        if rows:
+            found = Strings(ids, groups, answers.filter(pc.is_valid(answers.column("keys"))), buckets)
             document, begin, end = _marks(ids, found, [r for r in rows if r["strings"] is not None])
             order = np.argsort(document, kind="stable")
             document, begin, end = document[order], begin[order], end[order]
@@ -308,8 +393,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     * An empty table gives no rows; further columns are ignored.
     """
     batches, n = dealt(docs)
-    hits = batches.groupBy("batch").applyInArrow(_probe(n), ASKED).groupBy("bucket").applyInArrow(shared(False), SHARED)
-    strings = batches.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_send(n), STRINGS)
+    hits, strings = _strings(batches, n)
     answers = strings.groupBy("bucket").applyInArrow(_merge, ANSWERS)
     both = hits.unionByName(answers, allowMissingColumns=True)
     return (
@@ -318,3 +402,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .applyInArrow(_remove(n), RESULT)
         .where(F.col("n_bytes").isNotNull())
     )
+
+
+def _strings(batches: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """Names and windows that several documents hold, and the strings of batches that buckets compare."""
+    names = batches.groupBy("batch").applyInArrow(_probe(n), ASKED).groupBy("bucket").applyInArrow(shared(False), SHARED)
+    names = names.repartition(n, "batch")  # answered once for all its uses
+    asked = batches.groupBy("batch").cogroup(names.groupBy("batch")).applyInArrow(_probe_windows(n), ASKED)
+    windows = asked.groupBy("bucket").applyInArrow(shared(False), SHARED).withColumn("kind", F.lit(ALONE))
+    hits = names.unionByName(windows.repartition(n, "batch"))
+    return hits, batches.groupBy("batch").cogroup(hits.groupBy("batch")).applyInArrow(_send(n), STRINGS)

@@ -1,6 +1,7 @@
 """Removed repeats against looking every window up."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -113,3 +114,28 @@ def test_merged_transforms_are_the_order_of_all_suffixes(seed):
         if depth < 50:
             same = [x == y and not e and not f for x, y, e, f in zip(cut, cut[1:], ended, ended[1:])]
             assert same == (np.diff(block) == 0).tolist()
+
+
+def test_edges_of_a_hot_passage_do_not_meet_in_one_bucket(docs_of, monkeypatch):
+    monkeypatch.setattr(batches, "BATCH_BYTES", 20000)
+    rng = random.Random(3)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(n))
+
+    passage, ends = text(200), [text(18) for _ in range(40)]
+    rows = [(i, text(60) + passage + text(60)) for i in range(500)]
+    rows += [(1000 + i, text(30) + rng.choice(ends) + passage + rng.choice(ends) + text(30)) for i in range(300)]
+    rows += [(2000 + i, text(rng.randrange(9)) + "-" * rng.randrange(60, 900)) for i in range(60)]
+    dealt, n = batches.dealt(docs_of(rows))
+    held, size = {}, {}
+    for row in byte_repeats._strings(dealt, n)[1].collect():
+        strings = zlib.decompress(row["strings"]).split(byte_repeats.END)
+        for name, string in zip(np.frombuffer(row["names"], "<u4").tolist(), strings, strict=True):
+            held.setdefault((row["bucket"], name), []).append(string)
+    for key, strings in held.items():
+        size[key] = sum(map(len, strings))
+    stretch = byte_repeats.WINDOW + byte_repeats.SPAN
+    assert max(size.values()) <= (batches.CROWD + n) * stretch
+    found = as_dicts(byte_repeats.without_repeats(docs_of(rows)))
+    assert sorted((tuple(r.values())[:5] for r in found), key=str) == brute_bytes(rows)
