@@ -8,7 +8,7 @@ registers of a band are candidates. With similarity 0.8 a pair agrees in none of
 
 * Documents with equal sets are one class; its smallest doc_id goes on.
 * Candidates are grouped by connected bands, and groups are cut into blocks of
-  about ``BLOCK`` documents, so that a task sees two blocks at a time and a group
+  about ``BLOCK`` documents or ``BLOCK_BYTES`` of sets, so that a task sees two blocks at a time and a group
   of any size is dealt over many tasks. No pair ever becomes a row.
 * In a task, pairs whose likelihood, given all registers and both set sizes,
   points to a similarity clearly below the limit are left out; the others are
@@ -40,6 +40,7 @@ BASE, RATE, LARGEST, REGISTER = 1.001, 20.0, 65535, np.dtype("<u2")
 # How far below the limit a likely similarity may lie and still be confirmed: five standard errors.
 MARGIN = 5 * (0.25 / REGISTERS) ** 0.5
 BLOCK = 256
+BLOCK_BYTES = 32 << 20
 SALTS = 8
 
 _ODD = text_hashes.mix(np.arange(1, REGISTERS + 1, dtype=np.uint64)) | np.uint64(1)
@@ -207,11 +208,12 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
             _sketches(shingle_words), "doc_id long, n_shingles long, digest binary, sketch binary"
         )
     )
-    named = sketched.where("digest is not null and doc_id is not null").select("doc_id", "digest", "sketch")
+    named = sketched.where("digest is not null and doc_id is not null").drop("n_shingles")
     classed = checkpointed(with_minimum(named, ["digest"], "doc_id", "doc_id", "first").drop("first_of"))
     firsts = classed.where("doc_id = first").select("doc_id", "sketch").distinct()
     candidates = checkpointed(components(_candidates(firsts)))
-    found = checkpointed(components(_links(docs, candidates, shingle_words, percent)))
+    sizes = sketched.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
+    found = checkpointed(components(_links(docs, _blocks(candidates, sizes), shingle_words, percent)))
     # Rows of one doc_id have one component, its classes' smallest.
     of_first = classed.select("doc_id", "first").distinct()
     joined = components(
@@ -251,14 +253,24 @@ def _candidates(firsts: DataFrame) -> DataFrame:
     return starred.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
 
 
-def _links(docs: DataFrame, candidates: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Confirmed links: a spanning forest for each two blocks of a candidate group."""
-    sized = with_minimum(candidates, ["component"], "node", "node", "hub")
-    sized = sized.select(
-        F.col("node").alias("id"),
-        F.col("component").alias("candidate"),
-        F.ceil(F.col("hub_of") / BLOCK).cast("int").alias("blocks"),
+def _blocks(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Documents of candidate groups, and how many blocks their group has."""
+    sized = candidates.join(sizes, F.col("node") == F.col("doc_id"))
+    # Few rows a group and task reach the shuffle, so that a group of any size is summed in all tasks.
+    groups = sized.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    groups = groups.select("component", blocks.alias("blocks"))
+    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own_salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
+    return (
+        candidates.withColumn("salt", own_salt)
+        .join(salted, ["component", "salt"])
+        .select(F.col("node").alias("id"), F.col("component").alias("candidate"), "blocks")
     )
+
+
+def _links(docs: DataFrame, sized: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """Confirmed links: a spanning forest for each two blocks of a candidate group."""
     sets = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .join(sized, F.col("doc_id") == F.col("id"))

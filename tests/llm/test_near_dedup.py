@@ -96,3 +96,25 @@ def test_components(spark):
     alone = {a for a, b in links if a == b and near[a] == {a}}
     got = dict(tuple(r) for r in components.components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {n: c for n, c in expected.items() if n not in alone}
+
+
+def test_blocks_are_cut_by_bytes_too(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 8000)
+    candidates = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "node long, component long")
+    sizes = spark.createDataFrame([(i, 1 if i < 20 else 900) for i in range(50)], "doc_id long, n_shingles long")
+    blocks = {r["id"]: (r["candidate"], r["blocks"]) for r in near_dedup._blocks(candidates, sizes).collect()}
+    assert blocks == {i: (i // 10 * 10, 3 if i < 20 else 9) for i in range(40)}
+
+
+def test_long_near_copies_in_several_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 4000)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(3000)}" for _ in range(300)]
+    rows = []
+    for i in range(30):
+        w = list(base)
+        for _ in range(rng.randrange(8)):
+            w[rng.randrange(len(w))] = "other"
+        rows.append((i, " ".join(w)))
+    assert found(near_dedup.near_duplicates(docs_of(rows), 5)) == brute(rows, 5)
