@@ -96,6 +96,19 @@ def _round(active: DataFrame, depth: int | None) -> DataFrame:
 
 
 def without_duplicates(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    kept = exact_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """One row of each group of equal texts, with all its columns.
+
+    It is one with the group's keep_id, a null one included; of several such rows
+    (a repeated doc_id, or only null ones) the smallest by its columns. They are
+    reduced in each task before they meet.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    order = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    digest = F.sha2(F.encode(F.translate(text_of(), UPPER, UPPER.lower()), "UTF-8"), 256)
+
+    def key(of_text):
+        return F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), of_text).alias("key__")
+
+    rows = docs.groupBy(key(digest)).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("row__"))
+    kept = exact_duplicates(docs).where("kept").select(key(F.col("text_sha256"))).distinct()
+    return rows.join(kept, "key__", "left_semi").select("row__.*")

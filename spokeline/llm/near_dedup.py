@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from spokeline.llm import text_hashes
 from spokeline.llm.components import components
 from spokeline.llm.shared_files import ship
-from spokeline.llm.tables import checkpointed, with_minimum
+from spokeline.llm.tables import checkpointed, text_of, with_minimum
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -292,6 +292,20 @@ def _links(docs: DataFrame, sized: DataFrame, shingle_words: int, percent: int)
 
 
 def representatives(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all its columns."""
-    kept = near_duplicates(docs, shingle_words, percent).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "id"), F.col("doc_id") == F.col("id"), "left_semi")
+    """One document of each group, with all its columns.
+
+    Texts without a doc_id count as documents with larger ids than all others, in the
+    order of their digests, so one stays unless it is linked with a document before it.
+    """
+    doc_id, digest = F.col("doc_id").cast("long"), F.sha2(text_of(), 256)
+    keyed = docs.withColumn("key__", doc_id)
+    unnamed = docs.where(doc_id.isNull())
+    if not unnamed.isEmpty():
+        first = (docs.agg(F.max(doc_id)).first()[0] or 0) + 1
+        texts = checkpointed(unnamed.select(digest.alias("digest__")).distinct().orderBy("digest__"))
+        numbers = texts.withColumn("key__", F.lit(first) + F.monotonically_increasing_id())
+        numbered = unnamed.withColumn("digest__", digest).join(numbers, "digest__").drop("digest__")
+        keyed = keyed.where(doc_id.isNotNull()).unionByName(numbered)
+    found = near_duplicates(keyed.select(F.col("key__").alias("doc_id"), "text"), shingle_words, percent)
+    kept = found.where("kept").select(F.col("doc_id").alias("id__")).distinct()
+    return keyed.join(kept, F.col("key__") == F.col("id__"), "left_semi").drop("key__")

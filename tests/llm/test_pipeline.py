@@ -76,3 +76,20 @@ def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+
+
+def test_null_ids_and_repeated_rows(spark, docs_of):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(60)) for _ in range(4)]
+    near = [t + " more" for t in texts]
+    rows = [(1, texts[0]), (1, texts[0]), (None, near[0]), (None, texts[1]), (None, texts[1].upper()), (None, near[1])]
+    rows += [(None, texts[2]), (7, texts[3]), (7, texts[3]), (None, texts[3]), (None, None)]
+    docs = corpus_pipeline.exact_duplicates(spark, docs_of(rows), "")
+    exact = [(r["doc_id"], (r["text"] or "").lower()) for r in docs.collect()]
+    assert Counter(exact) == Counter(
+        [(1, texts[0]), (None, near[0]), (None, texts[1]), (None, near[1]), (None, texts[2]), (7, texts[3]), (None, "")]
+    )
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    left = [(r["doc_id"], (r["text"] or "").lower().removesuffix(" more")) for r in out.collect()]
+    assert Counter(left) == Counter([(1, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (None, "")])
