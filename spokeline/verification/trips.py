@@ -80,40 +80,75 @@ _CSV = {
 
 
 def write_csv(trips: DataFrame, folder: str) -> None:
-    """Trips as CSV files with a header."""
-    trips.write.options(**_CSV).option("header", True).csv(folder)
+    """Trips as CSV files with a header, named by the month their trips start in."""
+    _write_files(_records(trips), trips.columns, folder, "csv")
 
 
 def write_archives(trips: DataFrame, folder: str) -> None:
-    """Trips as zip archives, one per partition, each written as a stream by its task.
+    """Trips as zip archives of one CSV member each, named as the files of ``write_csv``."""
+    _write_files(_records(trips), trips.columns, folder, "zip")
 
-    A repeated task writes the same archive again, under the same name.
+
+def write_spoiled(trips: DataFrame, folder: str, kind: str) -> None:
+    """As above, with records that don't fit the columns: a latitude in words, or the last field missing."""
+    words = trips.withColumn("start_lat", F.when(wordy(), "north").otherwise(F.col("start_lat").cast("string")))
+    short = F.to_csv(F.struct(*trips.columns[:-1]), _CSV)
+    records = words.select(_file_month(), F.when(cut_short(), short).otherwise(F.to_csv(F.struct("*"), _CSV)).alias("line"))
+    _write_files(records, trips.columns, folder, kind)
+
+
+def wordy() -> Column:
+    """Whose latitude ``write_spoiled`` writes in words."""
+    return F.col("ride_id").rlike("7[13]$")
+
+
+def cut_short() -> Column:
+    """Whose last field ``write_spoiled`` leaves out."""
+    return F.col("ride_id").rlike("59$")
+
+
+def _file_month() -> Column:
+    return F.date_format("started_at", "yyyyMM").alias("file_month")
+
+
+def _records(trips: DataFrame) -> DataFrame:
+    return trips.select(_file_month(), F.to_csv(F.struct(*trips.columns), _CSV).alias("line"))
+
+
+def _write_files(records: DataFrame, columns: list[str], folder: str, kind: str) -> None:
+    """A file per month and task, each written as a stream. Months too large for a task are split.
+
+    A repeated task writes the same files again, under the same names.
     """
-    header = ",".join(trips.columns)
+    header = ",".join(columns) + "\n"
     where = trip_archive.filesystem_uri(folder)
 
-    def pack(batches):
-        import zipfile
+    def write(batches):
+        from contextlib import ExitStack
+        from zipfile import ZIP_DEFLATED, ZipFile
 
         from pyarrow import RecordBatch, fs
         from pyspark import TaskContext
 
-        name = f"202401-{TaskContext.get().partitionId():05d}"
         filesystem, root = fs.FileSystem.from_uri(where)
         filesystem.create_dir(root, recursive=True)
-        with (
-            filesystem.open_output_stream(f"{root}/{name}.zip") as out,
-            zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive,
-            archive.open(f"{name}.csv", "w", force_zip64=True) as member,
-        ):
-            member.write((header + "\n").encode())
+        task, month, out, opened = TaskContext.get().partitionId(), None, None, ExitStack()
+        with opened:
             for batch in batches:
-                lines = batch.column(0).to_pylist()
-                member.write("".join(f"{line}\n" for line in lines).encode())
-        yield RecordBatch.from_pydict({"archive": [name]})
-
-    lines = trips.select(F.to_csv(F.struct("*"), _CSV).alias("line"))
-    lines.mapInArrow(pack, "archive string").write.format("noop").mode("overwrite").save()
+                for its_month, line in zip(*(c.to_pylist() for c in batch.columns)):
+                    if its_month != month:
+                        opened.close()
+                        month, name = its_month, f"{its_month}-trips-{task:05d}"
+                        out = opened.enter_context(filesystem.open_output_stream(f"{root}/{name}.{kind}"))
+                        if kind == "zip":
+                            archive = opened.enter_context(ZipFile(out, "w", ZIP_DEFLATED))
+                            out = opened.enter_context(archive.open(f"{name}.csv", "w", force_zip64=True))
+                        out.write(header.encode())
+                    out.write(f"{line}\n".encode())
+        yield RecordBatch.from_pydict({"month": [month]})
+
+    sorted_ = records.hint("rebalance", "file_month").sortWithinPartitions("file_month")
+    sorted_.mapInArrow(write, "month string").write.format("noop").mode("overwrite").save()
 
 
 def _numbered(prefix: str, number: Column, suffix: str = "") -> Column:
