@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from spokeline.llm import (
     byte_repeats,
+    chat_format,
+    chat_repair,
     exact_dedup,
     mixing,
     near_dedup,
@@ -19,6 +21,7 @@ from spokeline.llm import (
     sharding,
     token_counts,
     token_files,
+    whitening,
     word_repeats,
 )
 from spokeline.llm.tables import documents
@@ -73,10 +76,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+# A conversation whose texts look like the template's own marks.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _conversations(spark, sf_dir)
+    marks = [(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)]
+    formatted = chat_format.format_chats(rows.union(spark.createDataFrame(marks, rows.schema)))
+    return chat_format.read_digests(formatted)
+
+
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat_repair.damaged(_conversations(spark, sf_dir))
+    return chat_repair.repairs(rows, absent="absent")
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_counts, op2_sharding, op3_word_repeats, op4_mixing, op5_token_files, op6_byte_repeats,
-        op7_near_dedup, op8_exact_dedup, op9_sentencepiece, op10_quality_rules,
+        op7_near_dedup, op8_exact_dedup, op9_sentencepiece, op10_quality_rules, op11_whitening,
+        op12_chat_format, op13_chat_repair,
     )
     return {q.__name__: q for q in found}
 
@@ -183,5 +212,32 @@ FROM plain WINDOW g AS (PARTITION BY body)
 WITH {QUALITY_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rejected, kept
 FROM verdicts
+""",
+        # A control string of n hashes is broken n - 2 times; every break adds two characters.
+        "op12_chat_format": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+written AS (
+  SELECT *, row_number() OVER c AS at, lag(role) OVER c AS before, lead(conv_id) OVER c IS NULL AS ends,
+    length('### ' || CASE WHEN role IN ('system', 'user', 'assistant') THEN '' ELSE 'Role ' END || role || ':')
+      + length(text) + length('</turn>') + 2  -- line ends
+      + length(text) - length(replace(text, '\', ''))
+      + 2 * coalesce(list_sum(list_transform(regexp_extract_all(text, '###+'), h -> length(h) - 2)), 0)
+      + 2 * len(regexp_extract_all(text, '</turn>')) AS chars_
+  FROM turns WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+counted AS (
+  SELECT *, CASE role WHEN 'assistant' THEN text END AS learnt,
+    CASE WHEN at = 1 THEN role IN ('system', 'user')
+         ELSE before || ' ' || role IN ('system user', 'user assistant', 'assistant user') END AS fits
+  FROM written)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+  coalesce(sum(length(learnt)), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(learnt, '' ORDER BY at), '')) AS loss_sha256,
+  sum(chars_)::BIGINT AS formatted_chars,
+  bool_and(fits) AND bool_or(ends AND role = 'assistant') AS well_ordered
+FROM counted GROUP BY conv_id
 """,
     }
