@@ -220,22 +220,22 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 written AS (
-  SELECT *, row_number() OVER c AS at, lag(role) OVER c AS before, lead(conv_id) OVER c IS NULL AS ends,
+  SELECT *, row_number() OVER c AS nth, lag(role) OVER c AS before, lead(conv_id) OVER c IS NULL AS ends,
     length('### ' || CASE WHEN role IN ('system', 'user', 'assistant') THEN '' ELSE 'Role ' END || role || ':')
       + length(text) + length('</turn>') + 2  -- line ends
       + length(text) - length(replace(text, '\', ''))
-      + 2 * coalesce(list_sum(list_transform(regexp_extract_all(text, '###+'), h -> length(h) - 2)), 0)
+      + 2 * coalesce(list_sum([length(h) - 2 for h in regexp_extract_all(text, '###+')]), 0)
       + 2 * len(regexp_extract_all(text, '</turn>')) AS chars_
   FROM turns WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 counted AS (
   SELECT *, CASE role WHEN 'assistant' THEN text END AS learnt,
-    CASE WHEN at = 1 THEN role IN ('system', 'user')
+    CASE WHEN nth = 1 THEN role IN ('system', 'user')
          ELSE before || ' ' || role IN ('system user', 'user assistant', 'assistant user') END AS fits
   FROM written)
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
   coalesce(sum(length(learnt)), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(learnt, '' ORDER BY at), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(learnt, '' ORDER BY nth), '')) AS loss_sha256,
   sum(chars_)::BIGINT AS formatted_chars,
   bool_and(fits) AND bool_or(ends AND role = 'assistant') AS well_ordered
 FROM counted GROUP BY conv_id
