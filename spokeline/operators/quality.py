@@ -23,7 +23,8 @@ def checks(table: schemas.Table) -> dict[tuple[str, str], Column]:
     return found
 
 
-def _counts(table: schemas.Table) -> list[Column]:
+def counts(table: schemas.Table) -> list[Column]:
+    """Failing rows of each declared check, as aggregates."""
     return [F.count_if(bad).alias(f"check_{i}") for i, bad in enumerate(checks(table).values())]
 
 
@@ -39,17 +40,20 @@ def check(df: DataFrame, table: schemas.Table) -> DataFrame:
         )
         for i, (column, name) in enumerate(checks(table))
     ]
-    return df.agg(*_counts(table)).select(F.inline(F.array(*rows)))
+    return df.agg(*counts(table)).select(F.inline(F.array(*rows)))
 
 
-def watch(df: DataFrame, table: schemas.Table) -> tuple[DataFrame, Observation]:
-    """The frame with its checks counted while it is written, which saves reading it again.
+class Watch:
+    """The checks of a table, counted by the job that writes it, which saves reading it again.
 
-    Counts are exact where no shuffle follows before the write: Spark adds a
-    finished task of the last stage once, however often tasks are repeated.
+    ``counts`` and ``seen`` go to the sink, which notes them in the tasks that write.
     """
-    seen = Observation(f"{table.name} checks")
-    return df.observe(seen, *_counts(table)), seen
+
+    def __init__(self, table: schemas.Table) -> None:
+        self.table, self.counts, self.seen = table, counts(table), Observation(f"{table.name} checks")
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return watched(spark, self.seen, self.table)
 
 
 def watched(spark: SparkSession, seen: Observation, table: schemas.Table) -> DataFrame:

@@ -40,6 +40,13 @@ def raw_in_window(raw: DataFrame, start: date, end: date) -> DataFrame:
     return raw.where((day >= F.lit(first)) & (day < F.lit(stop)))
 
 
+def months_of_run(rollup: DataFrame, start: date, end: date) -> DataFrame:
+    """Rows of the run window's months, of a table with a folder per month."""
+    first, stop = run_window(start, end)
+    month = F.col("started_month")
+    return rollup.where((month >= F.lit(first)) & (month < F.lit(stop)))
+
+
 def standardize(raw: DataFrame) -> DataFrame:
     """Trim names and kinds, blank to NULL. Ids stay as delivered."""
     texts = ("rideable_type", "start_station_name", "end_station_name", "member_casual")

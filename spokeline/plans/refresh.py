@@ -33,8 +33,11 @@ class Tables:
         layer = {
             schemas.RAW.name: "raw",
             schemas.STAGING.name: "staging",
+            schemas.TRIP_ROLLUP.name: "staging",
             schemas.USAGE_SUMS.name: "staging",
             schemas.STATION_VISITS.name: "staging",
+            schemas.STATIONS.name: "staging",
+            schemas.STATION_SETS.name: "staging",
         }.get(table.name, "report")
         return f"{self.root}/{layer}/{table.name}"
 
@@ -43,22 +46,32 @@ class Tables:
 
 
 def land(trips: DataFrame, landing: str) -> None:
-    """Write trip files as Parquet by file month; landing a month again replaces it.
+    """Write trip files as Parquet by start month and file month; landing a file month again replaces it.
 
-    Rows stay in the tasks that read them: no shuffle, and files as large as the input splits.
+    Records that could not be read go to folders of their own by the same job, and no run
+    reads them as trips (``trip_files.read_quarantine`` does). Rows stay in the tasks that read them:
+    no shuffle, and files as large as the input splits.
     Rows without a file month stop the load before anything is replaced: all of
     them would share one folder, and the next such load would replace it.
     """
     unnamed = F.raise_error(F.lit("trips without a file month can't be landed"))
-    named = trips.withColumn("file_month", F.coalesce(F.col("file_month"), unnamed.cast("string")))
-    sinks.replace_by_key(named, landing, schemas.LANDING, gather=False)
+    corrupt = F.col(schemas.CORRUPT.name) if schemas.CORRUPT.name in trips.columns else F.lit(None).cast("string")
+    named = trips.withColumns(
+        {
+            schemas.CORRUPT.name: corrupt,
+            "kind": F.when(corrupt.isNull(), "trip").otherwise("corrupt"),
+            "started_month": F.coalesce(F.date_format("started_at", "yyyyMM"), F.lit("unknown")),
+            "file_month": F.coalesce(F.col("file_month"), unnamed.cast("string")),
+        }
+    )
+    sinks.replace_sources(named, landing, schemas.LANDING)
 
 
 def load_raw(
     spark: SparkSession, where: Tables, start: date, end: date, *, allow_empty: bool = False
 ) -> None:
-    """Replace the run window of the raw table from everything that has landed."""
-    landed = trip_files.read_landed(spark, where.landing)
+    """Replace the run window of the raw table from all that has landed of its months."""
+    landed = trip_files.read_landed_months(spark, where.landing, months_in_window(start, end))
     sinks.replace_window(
         staging.landed_in_window(landed, start, end),
         where.path(schemas.RAW),
@@ -81,56 +94,69 @@ def build_staging(
     differences = quality.schema_differences(cleaned, schemas.STAGING)
     if differences:
         raise quality.QualityError("; ".join(differences))
-    cleaned, checked = quality.watch(cleaned, schemas.STAGING)
+    checks = quality.Watch(schemas.STAGING)
+    noted = {"counts": checks.counts, "seen": checks.seen}
     path = where.path(schemas.STAGING)
     if full_refresh:
-        sinks.replace(cleaned, path, schemas.STAGING, gather=False)
+        sinks.replace(cleaned, path, schemas.STAGING, gather=False, **noted)
     else:
         window = run_window(start, end)
-        sinks.replace_window(cleaned, path, schemas.STAGING, window, allow_empty=True, gather=False)
-    return quality.watched(spark, checked, schemas.STAGING)
+        sinks.replace_window(cleaned, path, schemas.STAGING, window, allow_empty=True, gather=False, **noted)
+    return checks.report(spark)
 
 
 def build_daily(
     spark: SparkSession, where: Tables, start: date, end: date, *, full_refresh: bool = False
-) -> None:
-    """Write what depends on one day's trips only: both rollups and the hourly report.
+) -> DataFrame:
+    """Write what depends on one day's trips only, and return the report of the checks on the hourly report.
 
-    The window's days are replaced as a whole, and rows of other days are those of
-    a rebuild over all trips, because staging changes inside the window only.
+    One pass over the window's staging makes the trip rollup; the other rollups and the hourly
+    report are made from that. The window's months are replaced as a whole, and rows of other days
+    are those of a rebuild over all trips, because staging changes inside the window only.
     """
-    window = staging.raw_in_window(where.read(spark, schemas.STAGING), start, end)
 
-    def write(rows: DataFrame, path: str, table: schemas.Table) -> None:
+    def write(rows: DataFrame, table: schemas.Table, **noted) -> None:
         if full_refresh:
-            sinks.replace(rows, path, table)
+            sinks.replace(rows, where.path(table), table, **noted)
         else:
-            sinks.replace_window(rows, path, table, run_window(start, end), allow_empty=True)
-
-    for table, rows in (
-        (schemas.USAGE_SUMS, rollups.usage_sums(window)),
-        (schemas.STATION_VISITS, rollups.station_visits(window)),
-    ):
-        write(rows, where.path(table), table)
-    usage = staging.raw_in_window(where.read(spark, schemas.USAGE_SUMS), start, end)
-    hourly = reports.from_rollups(usage, rollups.hourly_visits(window), schemas.HOURLY)
-    write(hourly, where.path(schemas.HOURLY), schemas.HOURLY)
+            window = run_window(start, end)
+            sinks.replace_window(rows, where.path(table), table, window, allow_empty=True, **noted)
 
+    def stored(table: schemas.Table) -> DataFrame:
+        return staging.months_of_run(where.read(spark, table), start, end)
 
-def build_reports(spark: SparkSession, where: Tables) -> None:
-    """Write the reports over all days anew, from the rollups alone."""
+    window = staging.raw_in_window(where.read(spark, schemas.STAGING), start, end)
+    write(rollups.trip_rollup(window), schemas.TRIP_ROLLUP)
+    rollup = stored(schemas.TRIP_ROLLUP)
+    write(rollups.usage_of(rollup), schemas.USAGE_SUMS)
+    write(rollups.visits_of(rollup), schemas.STATION_VISITS)
+    visits = stored(schemas.STATION_VISITS)
+    write(rollups.station_sets(visits, numbered_stations(spark, where, visits)), schemas.STATION_SETS)
+    checks = quality.Watch(schemas.HOURLY)
+    hourly = reports.from_rollups(rollups.usage_of(rollup), rollups.hourly_visits_of(rollup), schemas.HOURLY)
+    write(hourly, schemas.HOURLY, counts=checks.counts, seen=checks.seen)
+    return checks.report(spark)
+
+
+def numbered_stations(spark: SparkSession, where: Tables, visits: DataFrame) -> DataFrame:
+    """The stations' numbers, with new ones for those that have none. Numbers once given stay as they are."""
+    path = where.path(schemas.STATIONS)
+    known = tables.read_or_empty(spark, path, schemas.STATIONS)
+    sinks.replace(known.unionByName(rollups.new_stations(visits, known)), path, schemas.STATIONS)
+    return where.read(spark, schemas.STATIONS)
+
+
+def build_reports(spark: SparkSession, where: Tables) -> DataFrame:
+    """Write the reports over all days anew, from the rollups alone, and return the report of their checks."""
     usage = where.read(spark, schemas.USAGE_SUMS)
-    visits = where.read(spark, schemas.STATION_VISITS)
-    for table in (schemas.WEEKLY, schemas.MONTHLY):
-        sinks.replace(reports.from_rollups(usage, visits, table), where.path(table), table)
-
-
-def check_reports(spark: SparkSession, where: Tables) -> DataFrame:
-    results = [
-        quality.check(where.read(spark, t), t)
-        for t in (schemas.HOURLY, schemas.MONTHLY, schemas.WEEKLY)
-    ]
-    return reduce(DataFrame.unionByName, results)
+    sets = where.read(spark, schemas.STATION_SETS)
+    checked = []
+    for table in (schemas.MONTHLY, schemas.WEEKLY):
+        checks = quality.Watch(table)
+        noted = {"counts": checks.counts, "seen": checks.seen}
+        sinks.replace(reports.from_sets(usage, sets, table), where.path(table), table, **noted)
+        checked.append(checks.report(spark))
+    return checked[0].unionByName(checked[1])
 
 
 def refresh(
@@ -146,13 +172,15 @@ def refresh(
     full_refresh: bool = False,
     allow_empty: bool = False,
     fail_on_check: bool = True,
-) -> None:
+) -> DataFrame:
     """Files to reports for the months from the one before ``start`` up to ``end``'s.
 
+    Returns the report of all checks, which were counted while the tables were written.
+
     ``source`` is a folder of trip CSVs, or of zip archives with ``archives``;
     without it the run starts from what has landed. ``bad_rows`` and ``multi_line``
-    are those of ``read_csv``. ``full_refresh`` rebuilds
-    staging from this window alone. A failed check stops the run before the
+    are those of ``read_csv``; with PERMISSIVE, records that cannot be read are kept apart.
+    ``full_refresh`` rebuilds staging and what follows from this window alone. A failed check stops the run before the
     tables that depend on the checked one are written.
     """
     if source is not None:
@@ -163,10 +191,11 @@ def refresh(
             trips = trip_files.read_csv(spark, source, months, multi_line=multi_line, bad_rows=bad_rows)
         land(trips, where.landing)
     load_raw(spark, where, start, end, allow_empty=allow_empty)
-    checked = build_staging(spark, where, start, end, full_refresh=full_refresh)
+    checked = [build_staging(spark, where, start, end, full_refresh=full_refresh)]
     if fail_on_check:
-        quality.require(checked)
-    build_daily(spark, where, start, end, full_refresh=full_refresh)
-    build_reports(spark, where)
+        quality.require(checked[0])
+    checked.append(build_daily(spark, where, start, end, full_refresh=full_refresh))
+    checked.append(build_reports(spark, where))
     if fail_on_check:
-        quality.require(check_reports(spark, where))
+        quality.require(checked[1].unionByName(checked[2]))
+    return reduce(DataFrame.unionByName, checked)

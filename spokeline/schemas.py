@@ -33,11 +33,17 @@ class Table:
     columns: tuple[Column, ...]
     partition_by: str | None = None
     cluster_by: tuple[str, ...] = field(default=())
+    # Keys of the folders inside those of ``partition_by``.
+    then_by: tuple[str, ...] = field(default=())
 
     @property
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def folder_keys(self) -> list[str]:
+        return [self.partition_by, *self.then_by] if self.partition_by else []
+
     @property
     def struct(self) -> T.StructType:
         return T.StructType(
@@ -76,10 +82,21 @@ CSV_FIELDS = T.StructType(
     [T.StructField(c.name, STRING if c.dtype == NTZ else c.dtype) for c in _TRIP_COLUMNS]
 )
 
+# The raw record of a line that doesn't fit the columns, NULL for all others.
+CORRUPT = Column("corrupt_record", STRING, comment="record as delivered, if it could not be read")
+
+# Months come before file months, so that a run lists the months it reads and no others.
 LANDING = Table(
     "landing",
-    _TRIP_COLUMNS + (Column("file_month", STRING, comment="yyyyMM in the source file name"),),
-    partition_by="file_month",
+    _TRIP_COLUMNS
+    + (
+        CORRUPT,
+        Column("kind", STRING, comment="trip, or corrupt for records that could not be read"),
+        Column("started_month", STRING, comment="yyyyMM of the trip start, unknown without one"),
+        Column("file_month", STRING, comment="yyyyMM in the source file name"),
+    ),
+    partition_by="kind",
+    then_by=("started_month", "file_month"),
 )
 
 RAW = Table(
@@ -177,26 +194,54 @@ WEEKLY = Table(
     cluster_by=("day_of_week", "member_casual", "rideable_type"),
 )
 
+# Rollups are small, so a folder holds a month of them. Runs replace whole months.
+_MONTH = Column("started_month", DATE, comment="first day of the month; folder key")
+
+_SUMS = (
+    Column("rides", LONG),
+    # Whole units, so that no order of addition changes a sum.
+    Column("seconds", LONG, comment="sum of durations"),
+    Column("millimetres", LONG, comment="sum of distances, each to the nearest"),
+    Column("speed_sum", DOUBLE, comment="km/h, trips that took time"),
+    Column("speed_rides", LONG, comment="trips that took time"),
+)
+
+# What the daily tables are made from, in one pass over the trips.
+TRIP_ROLLUP = Table(
+    "trip_rollup",
+    (
+        _MONTH,
+        Column("started_date", DATE),
+        Column("started_hour", LONG),
+        Column("member_casual", STRING),
+        Column("rideable_type", STRING),
+        Column("side", STRING, comment="all trips, or those of a start or end station"),
+        Column("station_id", STRING),
+        Column("station_name", STRING),
+        *_SUMS,
+    ),
+    partition_by="started_month",
+    cluster_by=("side", "started_date", "started_hour", "station_id"),
+)
+
 USAGE_SUMS = Table(
     "usage_sums",
     (
+        _MONTH,
         Column("started_date", DATE),
         Column("started_hour", LONG),
         Column("member_casual", STRING),
         Column("rideable_type", STRING),
-        Column("rides", LONG),
-        Column("duration_sum", DOUBLE, comment="minutes"),
-        Column("distance_sum", DOUBLE, comment="km"),
-        Column("speed_sum", DOUBLE, comment="km/h, trips that took time"),
-        Column("speed_rides", LONG, comment="trips that took time"),
+        *_SUMS,
     ),
-    partition_by="started_date",
-    cluster_by=("started_hour", "member_casual", "rideable_type"),
+    partition_by="started_month",
+    cluster_by=("started_date", "started_hour", "member_casual", "rideable_type"),
 )
 
 STATION_VISITS = Table(
     "station_visits",
     (
+        _MONTH,
         Column("started_date", DATE),
         Column("member_casual", STRING),
         Column("rideable_type", STRING),
@@ -205,8 +250,30 @@ STATION_VISITS = Table(
         Column("station_name", STRING),
         Column("visits", LONG),
     ),
-    partition_by="started_date",
+    partition_by="started_month",
     cluster_by=("side", "station_id"),
 )
 
+# Station ids and their places in bitmaps. Numbers are given once and stay.
+STATIONS = Table(
+    "stations",
+    (Column("station_id", STRING), Column("station_no", LONG, comment="from 1, without gaps")),
+    cluster_by=("station_no",),
+)
+
+STATION_SETS = Table(
+    "station_sets",
+    (
+        _MONTH,
+        Column("started_date", DATE),
+        Column("member_casual", STRING),
+        Column("rideable_type", STRING),
+        Column("side", STRING),
+        Column("bucket", LONG, comment="bitmap_bucket_number of the stations' numbers"),
+        Column("stations", T.BinaryType(), comment="bitmap of the stations visited"),
+    ),
+    partition_by="started_month",
+    cluster_by=("side", "bucket"),
+)
+
 CHECKED_TABLES = (STAGING, HOURLY, MONTHLY, WEEKLY)

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from spokeline import schemas
+from spokeline import files, schemas
+
+# The file that names the version of a table that counts, and how versions are named: out of sight of whoever lists the table.
+CURRENT, VERSION = "_current", "_version-"
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder of a table's rows: the version that counts, or its own folder if there are no versions."""
+    version = files.read_text(spark, f"{path}/{CURRENT}")
+    return f"{path}/{version.strip()}" if version else path
 
 
 def read(spark: SparkSession, path: str, table: schemas.Table) -> DataFrame:
     """A table by its declared columns; filters on its folder column prune the scan."""
-    return spark.read.schema(table.struct).parquet(path).select(*table.names)
+    return spark.read.schema(table.struct).parquet(current(spark, path)).select(*table.names)
 
 
 def read_or_empty(spark: SparkSession, path: str, table: schemas.Table) -> DataFrame:

@@ -24,9 +24,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from spokeline import schemas
 
 FORMAT = "trip_archive"
-_SCHEMA = StructType(
-    [*schemas.CSV_FIELDS.fields, StructField("archive", StringType()), StructField("member", StringType())]
-)
+_ORIGIN = [StructField("archive", StringType()), StructField("member", StringType())]
 
 
 def register(spark: SparkSession) -> None:
@@ -74,8 +72,9 @@ class Member(InputPartition):
 
 class TripArchiveSource(DataSource):
     """Options: ``path`` of the folder, ``months`` as yyyyMM separated by commas or ``*``,
-    ``bad_rows`` (FAILFAST, or PERMISSIVE: a number that cannot be read is NULL) and
-    ``unnamed`` (whether archives without a month in their names are allowed).
+    ``bad_rows`` (FAILFAST, or PERMISSIVE: what cannot be read is NULL, and the column
+    ``corrupt_record`` has the record) and ``unnamed`` (whether archives without a month in
+    their names are allowed).
     """
 
     @classmethod
@@ -83,25 +82,26 @@ class TripArchiveSource(DataSource):
         return FORMAT
 
     def schema(self) -> StructType:
-        return _SCHEMA
+        corrupt = [StructField(schemas.CORRUPT.name, StringType())] if self._permissive() else []
+        return StructType([*schemas.CSV_FIELDS.fields, *corrupt, *_ORIGIN])
+
+    def _permissive(self) -> bool:
+        return self.options.get("bad_rows", "FAILFAST").upper() == "PERMISSIVE"
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return TripArchiveReader(
             self.options["path"],
             self.options.get("months", "*"),
-            schema,
-            permissive=self.options.get("bad_rows", "FAILFAST").upper() == "PERMISSIVE",
+            permissive=self._permissive(),
             unnamed=self.options.get("unnamed", "refused") == "allowed",
         )
 
 
 class TripArchiveReader(DataSourceReader):
-    def __init__(
-        self, folder: str, months: str, schema: StructType, *, permissive: bool, unnamed: bool
-    ) -> None:
+    def __init__(self, folder: str, months: str, *, permissive: bool, unnamed: bool) -> None:
         self.folder, self.permissive, self.unnamed = folder, permissive, unnamed
         self.globs = [f"{m}*.zip" if m != "*" else "*.zip" for m in months.split(",")]
-        self.columns = [(f.name, f.dataType.simpleString()) for f in schema.fields[:-2]]
+        self.columns = [(f.name, f.dataType.simpleString()) for f in schemas.CSV_FIELDS]
 
     def partitions(self) -> list[Member]:
         """Members of all archives. Reads each archive's directory only, which sits at its end.
@@ -137,6 +137,12 @@ class TripArchiveReader(DataSourceReader):
 
         types = {"string": pa.string(), "double": pa.float64()}
         names = [name for name, _ in self.columns]
+        misfits = []  # records with too many or too few fields, since the last batch
+
+        def keep(row) -> str:
+            misfits.append(row.text)
+            return "skip"
+
         filesystem, _ = _filesystem(self.folder)
         with (
             filesystem.open_input_file(partition.archive) as f,
@@ -152,7 +158,9 @@ class TripArchiveReader(DataSourceReader):
                     read_options=csv.ReadOptions(
                         column_names=names, block_size=4 << 20
                     ),
-                    parse_options=csv.ParseOptions(newlines_in_values=True),
+                    parse_options=csv.ParseOptions(
+                        newlines_in_values=True, invalid_row_handler=keep if self.permissive else None
+                    ),
                     convert_options=csv.ConvertOptions(
                         column_types={
                             n: pa.string() if self.permissive else types[t] for n, t in self.columns
@@ -168,24 +176,53 @@ class TripArchiveReader(DataSourceReader):
                 raise
             for batch in batches:
                 if self.permissive:
-                    batch = self._numbers_or_null(batch)
-                origin = [posixpath.basename(partition.archive), partition.name]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *batch.columns,
-                        *[pa.repeat(pa.scalar(o, pa.string()), batch.num_rows) for o in origin],
-                    ],
-                    names=[*names, "archive", "member"],
-                )
+                    batch, records = self._readable(batch)
+                    yield self._with_origin(batch.append_column(schemas.CORRUPT.name, records), partition)
+                    if misfits:
+                        yield self._with_origin(self._misfits(misfits), partition)
+                        misfits.clear()
+                else:
+                    yield self._with_origin(batch, partition)
+            if misfits:
+                yield self._with_origin(self._misfits(misfits), partition)
+
+    @staticmethod
+    def _with_origin(batch, partition: Member):
+        import pyarrow as pa
+
+        for name, value in (("archive", posixpath.basename(partition.archive)), ("member", partition.name)):
+            batch = batch.append_column(name, pa.repeat(pa.scalar(value, pa.string()), batch.num_rows))
+        return batch
+
+    def _misfits(self, records: list[str]):
+        """Rows of which nothing but the record is known."""
+        import pyarrow as pa
+
+        types = {"string": pa.string(), "double": pa.float64()}
+        columns = [pa.nulls(len(records), types[kind]) for _, kind in self.columns]
+        names = [*(n for n, _ in self.columns), schemas.CORRUPT.name]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(records, pa.string())], names=names)
+
+    def _readable(self, batch):
+        """Numbers that can be read, and the records of rows with one that can't, their fields as CSV."""
+        import csv
+        import io
 
-    def _numbers_or_null(self, batch):
+        import numpy as np
         import pandas as pd
         import pyarrow as pa
 
-        columns = []
+        columns, spoiled = [], np.zeros(batch.num_rows, bool)
         for column, (_, kind) in zip(batch.columns, self.columns):
             if kind == "double":
-                values = pd.to_numeric(column.to_pandas(), errors="coerce")
+                texts = column.to_pandas()
+                values = pd.to_numeric(texts, errors="coerce")
+                spoiled |= (texts.notna() & values.isna()).to_numpy()
                 column = pa.array(values, pa.float64(), from_pandas=True)
             columns.append(column)
-        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+        records = [None] * batch.num_rows
+        for row in np.flatnonzero(spoiled).tolist():
+            line = io.StringIO()
+            csv.writer(line, lineterminator="").writerow([c[row].as_py() for c in batch.columns])
+            records[row] = line.getvalue()
+        return pa.RecordBatch.from_arrays(columns, names=batch.schema.names), pa.array(records, pa.string())

@@ -8,12 +8,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from spokeline import schemas
+from spokeline import files, schemas
 from spokeline.sources import trip_archive
 
 # Fixed value: file names begin with the month they were published for.
 FILE_MONTH_PATTERN = r"^(\d{6})"
+_CORRUPT = T.StructField(schemas.CORRUPT.name, T.StringType())
 
 
 def read_csv(
@@ -27,8 +29,10 @@ def read_csv(
 ) -> DataFrame:
     """All trip CSVs below a folder, or those of the given months, each of which must be there.
 
-    A number that cannot be read stops the load (``bad_rows="PERMISSIVE"``
-    makes it NULL); a time that cannot be read becomes NULL. Files are split
+    A number that cannot be read stops the load, as does a record with too many or too few
+    fields; ``bad_rows="PERMISSIVE"`` makes what is missing NULL and adds a column
+    ``corrupt_record`` with the record as delivered, NULL for all others. A time that cannot
+    be read becomes NULL. Files are split
     between tasks, so a line break inside quotes needs ``multi_line=True``,
     which reads each file in one task. A header that differs from the declared
     columns stops the load.
@@ -36,9 +40,14 @@ def read_csv(
     ``file_month`` is the month for files whose names begin with none; without it they
     are refused, because a month landed again replaces what has landed for it.
     """
+    permissive = bad_rows.upper() == "PERMISSIVE"
+    fields = [*schemas.CSV_FIELDS, _CORRUPT] if permissive else list(schemas.CSV_FIELDS)
     lines = (
-        spark.read.schema(schemas.CSV_FIELDS)
+        spark.read.schema(T.StructType(fields))
         .option("header", True)
+        .option("columnNameOfCorruptRecord", schemas.CORRUPT.name)
+        # A number is looked at even where its column is not asked for.
+        .option("columnPruning", not permissive)
         .option("enforceSchema", False)
         .option("escape", '"')
         # No field holds this, so an empty field is NULL and a quoted empty one is "".
@@ -49,11 +58,11 @@ def read_csv(
         .option("pathGlobFilter", _month_glob(months, ".csv"))
         .csv(folder)
     )
-    files = [posixpath.basename(f) for f in lines.inputFiles()]
-    missing = [m for m in months or [""] if not any(f.startswith(m) for f in files)]
+    found = [posixpath.basename(f) for f in lines.inputFiles()]
+    missing = [m for m in months or [""] if not any(f.startswith(m) for f in found)]
     if missing:
         raise FileNotFoundError(f"no CSV files in {folder} {' '.join(missing)}".rstrip())
-    unnamed = [f for f in files if not re.match(FILE_MONTH_PATTERN, f)]
+    unnamed = [f for f in found if not re.match(FILE_MONTH_PATTERN, f)]
     if unnamed and file_month is None:
         raise ValueError(f"no month in the names of {unnamed[:5]}; give file_month")
     return _typed(lines, F.col("_metadata.file_name"), file_month)
@@ -84,13 +93,37 @@ def read_archives(
 
 
 def read_landed(spark: SparkSession, folder: str, name_glob: str = "*.parquet") -> DataFrame:
-    """Every landed Parquet file, whichever run landed it."""
-    return (
-        spark.read.schema(schemas.TRIPS.struct)
+    """Trips of every landed Parquet file, whichever run landed it, and however it is laid out."""
+    landed = (
+        spark.read.schema(T.StructType([*schemas.TRIPS.struct, _CORRUPT]))
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", name_glob)
         .parquet(folder)
     )
+    return landed.where(F.col(schemas.CORRUPT.name).isNull()).select(*schemas.TRIPS.names)
+
+
+def read_landed_months(spark: SparkSession, folder: str, months: Sequence[str]) -> DataFrame:
+    """Landed trips that start in the given months, whichever file brought them.
+
+    Only those months' folders are listed, so a run over a few months takes no longer for
+    the years that have landed before. Months without a folder have no rows.
+    """
+    return _landed(spark, folder, "trip", [f"started_month={m}" for m in months]).select(*schemas.TRIPS.names)
+
+
+def read_quarantine(spark: SparkSession, folder: str, months: Sequence[str] | None = None) -> DataFrame:
+    """Records that could not be read, with what could be read of them, of all or of the given file months."""
+    rows = _landed(spark, folder, "corrupt", [""])
+    return rows if months is None else rows.where(F.col("file_month").isin(*months))
+
+
+def _landed(spark: SparkSession, folder: str, kind: str, below: list[str]) -> DataFrame:
+    paths = [f"{folder}/kind={kind}/{b}".rstrip("/") for b in below]
+    found = [p for p in paths if files.exists(spark, p)]
+    if not found:
+        return spark.createDataFrame([], schemas.LANDING.struct)
+    return spark.read.schema(schemas.LANDING.struct).option("basePath", folder).parquet(*found)
 
 
 def _typed(lines: DataFrame, file_name: Column, file_month: str | None) -> DataFrame:
@@ -103,6 +136,7 @@ def _typed(lines: DataFrame, file_name: Column, file_month: str | None) -> DataF
             else F.col(c.name)
             for c in schemas.TRIPS.columns
         ],
+        *[F.col(c) for c in (schemas.CORRUPT.name,) if c in lines.columns],
         F.coalesce(named, F.lit(file_month)).alias("file_month"),
     )
 

@@ -1,6 +1,7 @@
 """DuckDB SQL for each query, written from the definitions and not from the Spark code.
 
-Doubles are rounded the way ``registry.rounded`` explains.
+Doubles are rounded the way ``registry.rounded`` explains; durations and distances of reports are
+not rounded at all, as their sums are whole numbers.
 """
 
 from __future__ import annotations
@@ -54,7 +55,7 @@ _CLEAN = """
     seconds / 60.0::DOUBLE AS ride_duration_minutes,
     km AS ride_distance_km,
     CASE WHEN seconds > 0 THEN km / (seconds / 3600.0::DOUBLE) END AS avg_speed_kmh,
-    source_month
+    source_month, seconds::BIGINT AS seconds, floor(km * 1e6::DOUBLE + 0.5::DOUBLE)::BIGINT AS millimetres
   FROM (
     SELECT * REPLACE (
         nullif(trim(rideable_type), '') AS rideable_type,
@@ -83,8 +84,8 @@ _MEASURES = """
     count(*) AS ride_count,
     count(DISTINCT start_station_id) AS unique_start_stations,
     count(DISTINCT end_station_id) AS unique_end_stations,
-    avg(ride_duration_minutes) AS avg_ride_duration_minutes,
-    avg(ride_distance_km) AS avg_ride_distance_km,
+    sum(seconds)::BIGINT / 60.0::DOUBLE / count(*) AS avg_ride_duration_minutes,
+    sum(millimetres)::BIGINT / 1e6::DOUBLE / count(*) AS avg_ride_distance_km,
     avg(avg_speed_kmh) AS avg_speed_kmh"""
 
 _WEEKDAY = """CASE day_of_week WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday'
@@ -116,18 +117,20 @@ monthly AS (
   FROM staging GROUP BY ALL
 )"""
 
+# A month's totals come back from its averages times its rides, as the page has nothing else.
 YOY = """
+months_of_pair AS (
+  SELECT extract(year FROM metric_month)::BIGINT AS year, extract(month FROM metric_month)::BIGINT AS month,
+    member_casual, rideable_type, ride_count::DOUBLE AS n,
+    n * avg_ride_duration_minutes AS minutes, n * avg_ride_distance_km AS km,
+    n * avg_speed_kmh AS speed, CASE WHEN avg_speed_kmh IS NULL THEN 0 ELSE n END AS n_speed
+  FROM monthly WHERE year BETWEEN {old} AND {new}
+),
 yoy AS (
-  SELECT year(metric_month)::BIGINT AS year, month(metric_month)::BIGINT AS month,
-    member_casual, rideable_type,
-    sum(ride_count)::BIGINT AS ride_count,
-    sum(avg_ride_duration_minutes * ride_count) / sum(ride_count) AS avg_ride_duration_minutes,
-    sum(avg_ride_distance_km * ride_count) / sum(ride_count) AS avg_ride_distance_km,
-    sum(coalesce(avg_speed_kmh, 0) * ride_count)
-      / nullif(sum(CASE WHEN avg_speed_kmh IS NOT NULL THEN ride_count END), 0) AS avg_speed_kmh
-  FROM monthly
-  WHERE metric_month >= DATE '2024-01-01' AND metric_month < DATE '2026-01-01'
-  GROUP BY ALL
+  SELECT year, month, member_casual, rideable_type, sum(n)::BIGINT AS ride_count,
+    sum(minutes) / sum(n) AS avg_ride_duration_minutes, sum(km) / sum(n) AS avg_ride_distance_km,
+    coalesce(sum(speed), 0) / nullif(sum(n_speed), 0) AS avg_speed_kmh
+  FROM months_of_pair GROUP BY year, month, member_casual, rideable_type
 )"""
 
 _LABELS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec'][month]"
@@ -147,8 +150,7 @@ _STATIONS = "start_station_name, start_station_id, end_station_name, end_station
 _RAW_COLUMNS = _TRIP_COLUMNS.format(texts=_STATIONS) + ", source_month, started_date"
 
 _REPORT_MEASURES = """ride_count, unique_start_stations, unique_end_stations,
-  round(avg_ride_duration_minutes + 1e-9, 6) AS avg_ride_duration_minutes,
-  round(avg_ride_distance_km + 1e-9, 6) AS avg_ride_distance_km,
+  avg_ride_duration_minutes, avg_ride_distance_km,
   round(avg_speed_kmh + 1e-9, 6) AS avg_speed_kmh"""
 
 
@@ -176,8 +178,8 @@ def _monthly(select: str) -> str:
     return _with(STAGING, HOURLY, MONTHLY, select=select)
 
 
-def _yoy(select: str) -> str:
-    return _with(STAGING, MONTHLY, YOY, select=select)
+def _yoy(select: str, old: int = 2024, new: int = 2025) -> str:
+    return _with(STAGING, MONTHLY, YOY.format(old=old, new=new), select=select)
 
 
 def _staging(select: str) -> str:
@@ -195,12 +197,11 @@ SELECT metric_month, member_casual, rideable_type, {_REPORT_MEASURES} FROM month
 
 def _top(side: str) -> str:
     return f"""
-SELECT station_name, round(avg(monthly_trips)) AS avg_trips
+SELECT station_name, round(trips / n_months::DOUBLE) AS avg_trips
 FROM (
-  SELECT {side}_station_name AS station_name, started_month, count(*) AS monthly_trips
-  FROM staging WHERE {side}_station_id IS NOT NULL GROUP BY ALL
+  SELECT {side}_station_name AS station_name, count(*) AS trips, count(DISTINCT started_month) AS n_months
+  FROM staging WHERE {side}_station_id IS NOT NULL GROUP BY {side}_station_name
 )
-GROUP BY station_name
 ORDER BY avg_trips DESC, station_name ASC NULLS LAST LIMIT 10"""
 
 
@@ -264,7 +265,7 @@ SELECT weekday_name, day_of_week, {kind},
 FROM weekly CROSS JOIN weeks GROUP BY weekday_name, day_of_week, {kind}"""
 
 
-def _stats(where: str = "") -> str:
+def _stats(where: str = "", old: int = 2024, new: int = 2025) -> str:
     return f"""
 , years AS (
   SELECT year, sum(ride_count)::DOUBLE AS total,
@@ -285,20 +286,43 @@ cards AS (
 ),
 pairs AS (
   SELECT position, label,
-    coalesce(max(v) FILTER (year = 2024), 0) AS a, coalesce(max(v) FILTER (year = 2025), 0) AS b
+    coalesce(max(v) FILTER (year = {old}), 0) AS a, coalesce(max(v) FILTER (year = {new}), 0) AS b
   FROM cards GROUP BY position, label
 )
-SELECT position, label, round(a + 1e-9, 6) AS value_2024, round(b + 1e-9, 6) AS value_2025,
+SELECT position, label, round(a + 1e-9, 6) AS value_{old}, round(b + 1e-9, 6) AS value_{new},
   CASE WHEN position <= 2 THEN format('{{:,}}', a::BIGINT)
-       WHEN position = 3 THEN printf('%.1f', a) ELSE printf('%.2f', a) END AS text_2024,
+       WHEN position = 3 THEN printf('%.1f', a) ELSE printf('%.2f', a) END AS text_{old},
   CASE WHEN position <= 2 THEN format('{{:,}}', b::BIGINT)
-       WHEN position = 3 THEN printf('%.1f', b) ELSE printf('%.2f', b) END AS text_2025,
+       WHEN position = 3 THEN printf('%.1f', b) ELSE printf('%.2f', b) END AS text_{new},
   CASE WHEN a = 0 THEN 'N/A' ELSE
     CASE WHEN (b - a) / a * 100 >= 0 THEN '+' ELSE '' END || printf('%.1f', (b - a) / a * 100)
     || '%' END AS change_text
 FROM pairs"""
 
 
+def _change(old: int, new: int) -> str:
+    return f"""
+SELECT month, rides_{old}, rides_{new},
+  round(CASE WHEN rides_{old} > 0 THEN (rides_{new} - rides_{old}) / rides_{old}::DOUBLE * 100 END + 1e-9, 6)
+    AS yoy_pct, {_LABELS} AS month_label
+FROM (
+  SELECT month,
+    CASE WHEN bool_or(coalesce(bool_or(year = {old}), false)) OVER () THEN sum(ride_count) FILTER (year = {old})
+         ELSE 0 END::BIGINT AS rides_{old},
+    CASE WHEN bool_or(coalesce(bool_or(year = {new}), false)) OVER () THEN sum(ride_count) FILTER (year = {new})
+         ELSE 0 END::BIGINT AS rides_{new}
+  FROM yoy GROUP BY month
+)"""
+
+
+# Trips as they are delivered in files: which records can't be read, and which file they come in.
+_DELIVERED = """delivered AS (
+  SELECT *, ride_id LIKE '%71' OR ride_id LIKE '%73' AS wordy, ride_id LIKE '%59' AS cut_short,
+    strftime(CASE WHEN ride_id LIKE '%3' AND started_at < TIMESTAMP '2026-02-01' THEN started_at + INTERVAL 1 MONTH
+                  ELSE started_at END, '%Y%m') AS file_month
+  FROM raw)"""
+
+
 def _checks() -> str:
     required = {
         "trips_clean": (
@@ -503,18 +527,9 @@ FROM (SELECT count(DISTINCT month) FILTER (year = 2024) AS months_2024,
             f"SELECT year, month, rides, {_LABELS} AS month_label FROM (SELECT year, month, "
             "sum(ride_count)::BIGINT AS rides FROM yoy GROUP BY ALL)"
         ),
-        "yoy_change": _yoy(f"""
-SELECT month, rides_2024, rides_2025,
-  round(CASE WHEN rides_2024 > 0 THEN (rides_2025 - rides_2024) / rides_2024::DOUBLE * 100 END + 1e-9, 6)
-    AS yoy_pct, {_LABELS} AS month_label
-FROM (
-  SELECT month,
-    CASE WHEN bool_or(max(year = 2024)) OVER () THEN sum(ride_count) FILTER (year = 2024)
-         ELSE 0 END::BIGINT AS rides_2024,
-    CASE WHEN bool_or(max(year = 2025)) OVER () THEN sum(ride_count) FILTER (year = 2025)
-         ELSE 0 END::BIGINT AS rides_2025
-  FROM yoy GROUP BY month
-)"""),
+        "yoy_change": _yoy(_change(2024, 2025)),
+        "yoy_change_absent_year": _yoy(_change(2026, 2027), 2026, 2027),
+        "yoy_stats_absent_year": _yoy(_stats("", 2026, 2027), 2026, 2027),
         "yoy_rides_by_member": _yoy(
             "SELECT year, member_casual, sum(ride_count)::BIGINT AS rides FROM yoy GROUP BY ALL"
         ),
@@ -532,6 +547,45 @@ FROM (
             "AS avg_distance FROM yoy GROUP BY ALL)"
         ),
     }
+    sql["quarantined_csv"] = sql["quarantined_archives"] = _with(
+        _DELIVERED,
+        select="SELECT file_month, ride_id, CASE WHEN cut_short THEN 12 ELSE 13 END::INTEGER AS n_fields, "
+        "wordy AS in_words FROM delivered WHERE wordy OR cut_short",
+    )
+    sql["landed_months"] = _with(
+        _DELIVERED,
+        select="SELECT source_month AS started_month, file_month, count(*) AS trips FROM delivered "
+        "WHERE NOT (wordy OR cut_short) AND source_month IN ('202501', '202502', '202503') GROUP BY ALL",
+    )
+    readable = "readable AS (SELECT staging.* FROM staging WHERE NOT (ride_id LIKE '%71' OR ride_id LIKE '%73' OR ride_id LIKE '%59'))"
+    sql["refreshed_from_csv"] = _with(
+        STAGING, readable, MONTHLY.replace("FROM staging", "FROM readable"), select=_MONTHLY_REPORT
+    )
+    # What comes late with the file after the last one of the window is not there yet.
+    in_time = readable.replace("FROM staging WHERE", """FROM staging WHERE source_month IN ('202501', '202502', '202503')
+      AND NOT (ride_id LIKE '%3' AND source_month = '202503') AND""")
+    sql["refreshed_from_archives"] = _with(
+        STAGING, in_time, HOURLY.replace("FROM staging", "FROM readable"), select=_HOURLY_REPORT
+    )
+    sql["schema_drift"] = """
+SELECT '202407' AS file_month, * FROM (VALUES
+  ('start_lat', 'double', 'string'), ('end_lng', 'double', NULL), ('end_lon', NULL, 'double')
+) AS v(column_name, declared, found)
+WHERE EXISTS (SELECT 1 FROM events WHERE strftime(ts + to_months(CAST(event_id % 26 AS INTEGER)), '%Y%m') = '202407')"""
+    sql["stored_layout"] = _staging(
+        "SELECT started_date, count(*) AS trips, true AS in_folder, true AS in_order FROM staging GROUP BY started_date"
+    )
+    sql["refreshed_checks"] = _with(STAGING, HOURLY, WEEKLY, MONTHLY, select=_checks(), trips=MOVED)
+    sql["refreshed_in_full"] = _with(NARROW, select=f"SELECT {_STAGING_COLUMNS} FROM narrow", trips=MOVED)
+    sql["missing_weekly_kpi"] = _hourly(
+        "SELECT NULL::DOUBLE AS avg_weekly_rides, NULL::VARCHAR AS weekly_rides_text FROM hourly LIMIT 1"
+    )
+    sql["no_trips_kpis"] = _with(
+        STAGING, HOURLY.replace("FROM staging", "FROM staging WHERE ride_distance_km < 0"), select=_kpis()
+    )
+    sql["set_weekly_report"], sql["set_monthly_report"] = sql["weekly_report"], sql["monthly_report"]
+    for side in ("start", "end"):
+        sql[f"rolled_yoy_top_stations_{side}"] = sql[f"yoy_top_stations_{side}"]
     # Other ways to the same rows.
     sql["landing_roundtrip"] = sql["archive_scan"] = sql["csv_scan"]
     for report in ("hourly", "weekly", "monthly"):

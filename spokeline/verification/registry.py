@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spokeline import schemas
 from spokeline.functions import first_months, month_label, run_window
+from spokeline.functions import months_in_window as months_of_run
 from spokeline.marts import common, hourly, monthly, stations, weekly, yoy
-from spokeline.operators import quality, reports, rollups, staging
+from spokeline.operators import drift, quality, reports, rollups, staging
 from spokeline.plans import refresh
 from spokeline.session import scratch_root
 from spokeline.sinks import tables as sinks
@@ -27,10 +29,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUNS = ((date(2025, 2, 15), date(2025, 3, 15)), (date(2025, 3, 15), date(2025, 4, 15)))
 NARROW = (RUNS[0][0], RUNS[1][1])
 BACKFILL = (source.START, source.END)
+# A pair of years of which the trips have the first one only.
+ABSENT = (2026, 2027)
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
-    """Computed doubles rounded, because engines add them in different orders.
+# What reports compute from whole seconds and millimetres: the same bits in any order of addition.
+EXACT = ("avg_ride_duration_minutes", "avg_ride_distance_km")
+
+
+def rounded(df: DataFrame, places: int = 6, exact: tuple[str, ...] = ()) -> DataFrame:
+    """Computed doubles but the ``exact`` ones rounded, because engines add them in different orders.
 
     A mean of, say, 32 whole-second durations can lie exactly between two
     roundings, where the order of addition decides. The SQL and this function
@@ -40,7 +48,7 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
         {
             f.name: F.round(F.col(f.name) + 1e-9, places)
             for f in df.schema
-            if f.dataType == T.DoubleType() and not f.name.endswith(("_lat", "_lng"))
+            if f.dataType == T.DoubleType() and not f.name.endswith(("_lat", "_lng")) and f.name not in exact
         }
     )
 
@@ -49,6 +57,10 @@ def _on_trips(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: rounded(build(source.clean(spark, sf_dir)))
 
 
+def _report(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: rounded(build(source.clean(spark, sf_dir)), exact=EXACT)
+
+
 def _on_report(table: schemas.Table, build: Callable[[DataFrame], DataFrame]) -> Query:
     """A page's data set over the report columns the page loads."""
     return _on_trips(lambda trips: build(_page(trips, table)))
@@ -66,6 +78,27 @@ def _on_yoy(build: Callable[[DataFrame], DataFrame]) -> Query:
     return _on_report(schemas.MONTHLY, lambda m: build(yoy.compared_months(m)))
 
 
+def _small(query: Query) -> Query:
+    """The tables here are small; their folders are many. Rebalanced writes go to tasks on all cores all the same."""
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
+    }
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        before = {key: spark.conf.get(key, None) for key in sizes}
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        try:
+            return query(spark, sf_dir)
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+    return run
+
+
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -137,6 +170,92 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_files.read_landed(spark, landing)
 
 
+def _delivered(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """All trips as files, some with records that can't be read, some in a later month's file."""
+    folder = _scratch(spark, kind)
+    source.write_spoiled(source.trips(spark, sf_dir), folder, kind)
+    return folder
+
+
+def _quarantined(kind: str) -> Query:
+    """Records that could not be read, after files were landed twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        read = trip_files.read_csv if kind == "csv" else trip_files.read_archives
+        landing, folder = _scratch(spark, "landing"), _delivered(spark, sf_dir, kind)
+        for _ in range(2):
+            refresh.land(read(spark, folder, bad_rows="PERMISSIVE"), landing)
+        fields = F.split("corrupt_record", ",")
+        return trip_files.read_quarantine(spark, landing).select(
+            "file_month",
+            fields[0].alias("ride_id"),
+            F.size(fields).alias("n_fields"),
+            F.contains("corrupt_record", F.lit(",north,")).alias("in_words"),
+        )
+
+    return query
+
+
+def landed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed trips of the narrow window's months, by start month and the file that brought them."""
+    landing = _scratch(spark, "landing")
+    refresh.land(trip_files.read_csv(spark, _delivered(spark, sf_dir, "csv"), bad_rows="PERMISSIVE"), landing)
+    months = months_of_run(*NARROW)
+    trips = trip_files.read_landed_months(spark, landing, months).select(F.col("_metadata.file_path").alias("file_path"))
+    keys = [F.regexp_extract("file_path", rf"/{k}=(\d+)/", 1).alias(k) for k in ("started_month", "file_month")]
+    return trips.groupBy(*keys).agg(F.count("*").alias("trips"))
+
+
+def _refreshed_from_files(kind: str) -> Query:
+    """A report of a run from files, every trip on its own day.
+
+    The backfill from CSV loads all months, the two scheduled runs from archives those of their windows.
+    """
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        where = refresh.Tables(_scratch(spark, "warehouse"))
+        files = {"source": _delivered(spark, sf_dir, kind), "archives": kind == "zip", "bad_rows": "PERMISSIVE"}
+        for run in (BACKFILL,) if kind == "csv" else RUNS:
+            refresh.refresh(spark, where, *run, fail_on_check=False, **files)
+        table = schemas.MONTHLY if kind == "csv" else schemas.HOURLY
+        return rounded(where.read(spark, table), exact=EXACT)
+
+    return query
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips landed by month, one month by a writer with other columns: how its files differ."""
+    landing = _scratch(spark, "landing")
+    trips = source.trips(spark, sf_dir)
+    month = F.date_format("started_at", "yyyyMM")
+    for ours, rows in ((True, trips.where(month != "202407")), (False, trips.where(month == "202407"))):
+        if not ours:
+            rows = rows.withColumn("start_lat", F.col("start_lat").cast("string")).withColumnRenamed("end_lng", "end_lon")
+        rows.withColumn("file_month", month).write.mode("append").partitionBy("file_month").parquet(landing)
+    found = drift.differences(drift.file_columns(spark, landing), schemas.TRIPS)
+    file = F.regexp_extract("file", r"file_month=(\d+)", 1).alias("file_month")
+    return found.select(file, "column_name", "declared", "found").distinct()
+
+
+def stored_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging by day: rows, whether all are in their day's folder, and whether files are in order."""
+    path = _scratch(spark, "staging")
+    sinks.replace(source.clean(spark, sf_dir), path, schemas.STAGING)
+    stored = tables.read(spark, path, schemas.STAGING).select(
+        "started_date",
+        *schemas.STAGING.cluster_by,
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"),
+    )
+    folder = F.regexp_extract("file", r"started_date=([0-9-]+)/", 1) == F.col("started_date").cast("string")
+    keys = F.struct(*schemas.STAGING.cluster_by)
+    before = F.lag(keys).over(Window.partitionBy("file").orderBy("at"))
+    marked = stored.select("started_date", folder.alias("in_folder"), (before.isNull() | (before <= keys)).alias("next"))
+    return marked.groupBy("started_date").agg(
+        F.count("*").alias("trips"), F.every("in_folder").alias("in_folder"), F.every("next").alias("in_order")
+    )
+
+
 def window_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A raw table of all days in which one window is then loaded again."""
     path = _scratch(spark, "raw")
@@ -188,6 +307,33 @@ def _backfilled(spark: SparkSession, sf_dir: str) -> refresh.Tables:
     return where
 
 
+def refreshed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks of a refresh, counted by the jobs that write."""
+    where = refresh.Tables(_scratch(spark, "warehouse"))
+    refresh.land(_landed(spark, sf_dir), where.landing)
+    return refresh.refresh(spark, where, *BACKFILL, fail_on_check=False)
+
+
+def refreshed_in_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging after a backfill and a full refresh of a narrow window."""
+    where = _backfilled(spark, sf_dir)
+    refresh.refresh(spark, where, *NARROW, full_refresh=True, fail_on_check=False)
+    return rounded(where.read(spark, schemas.STAGING).drop("loaded_at"))
+
+
+def missing_weekly_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly page when its report has never been written and the hourly one has."""
+    paths = [_scratch(spark, t) for t in ("weekly", "hourly")]
+    moved = staging.clean(staging.with_lineage(_landed(spark, sf_dir)), source.START, source.END)
+    sinks.replace(reports.hourly(moved), paths[1], schemas.HOURLY)
+    return rounded(weekly.kpi(tables.load_weekly(spark, paths[0]), tables.load_hourly(spark, paths[1])))
+
+
+def no_trips_kpis(trips: DataFrame) -> DataFrame:
+    """The hourly page over an hourly report of no valid trip."""
+    return hourly.kpis(_page(trips.where(F.col("ride_distance_km") < 0), schemas.HOURLY))
+
+
 def _refreshed(table: schemas.Table) -> Query:
     """A report table after the backfill of all months and two scheduled runs."""
 
@@ -195,7 +341,19 @@ def _refreshed(table: schemas.Table) -> Query:
         where = _backfilled(spark, sf_dir)
         for run in RUNS:
             refresh.refresh(spark, where, *run, fail_on_check=False)
-        return rounded(where.read(spark, table))
+        return rounded(where.read(spark, table), exact=EXACT)
+
+    return query
+
+
+def rolled_yoy(side: str) -> Query:
+    """Yearly station lists from visits stored by day."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = _scratch(spark, "visits")
+        sinks.replace(rollups.station_visits(source.clean(spark, sf_dir)), path, schemas.STATION_VISITS)
+        visits = tables.read(spark, path, schemas.STATION_VISITS)
+        return stations.by_year(stations.rolled_visits_of(visits, side))
 
     return query
 
@@ -207,7 +365,7 @@ def refreshed_after_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
     corrected = _landed(spark, sf_dir).withColumn("ride_id", F.when(eleventh, "nan").otherwise(F.col("ride_id")))
     refresh.land(corrected, where.landing)
     refresh.refresh(spark, where, *BACKFILL, fail_on_check=False)
-    return rounded(where.read(spark, schemas.HOURLY))
+    return rounded(where.read(spark, schemas.HOURLY), exact=EXACT)
 
 
 def raw_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -241,9 +399,27 @@ def _stored(*tables_: schemas.Table) -> Callable[[Callable[..., DataFrame]], Que
 
 
 def _from_rollups(table: schemas.Table) -> Query:
-    hourly_table = table is schemas.HOURLY
-    visits = rollups.hourly_visits if hourly_table else rollups.station_visits
-    return _on_trips(lambda t: reports.from_rollups(rollups.usage_sums(t), visits(t), table))
+    """A report from the trip rollup, which is one pass over the trips."""
+
+    def build(trips: DataFrame) -> DataFrame:
+        rollup = rollups.trip_rollup(trips)
+        visits = rollups.hourly_visits_of if table is schemas.HOURLY else rollups.visits_of
+        return reports.from_rollups(rollups.usage_of(rollup), visits(rollup), table)
+
+    return _report(build)
+
+
+def _from_sets(table: schemas.Table) -> Query:
+    """A report from station bitmaps. Half of the stations have numbers before the others come."""
+
+    def build(trips: DataFrame) -> DataFrame:
+        visits = rollups.station_visits(trips)
+        none = trips.sparkSession.createDataFrame([], schemas.STATIONS.struct)
+        early = rollups.new_stations(visits.where(F.col("started_date") < F.lit(NARROW[0])), none)
+        numbers = early.unionByName(rollups.new_stations(visits, early))
+        return reports.from_sets(rollups.usage_sums(trips), rollups.station_sets(visits, numbers), table)
+
+    return _report(build)
 
 
 def _top(side: str) -> Query:
@@ -266,9 +442,20 @@ def _year_table(side: str) -> Query:
     )
 
 
+# Queries that write tables with many folders.
+WRITING = {
+    "quarantined_csv", "quarantined_archives", "landed_months", "schema_drift", "stored_layout", "window_replace",
+    "delete_insert", "full_refresh", "refreshed_from_csv", "refreshed_from_archives", "refreshed_checks",
+    "refreshed_in_full", "refreshed_weekly_report", "refreshed_hourly_report", "refreshed_monthly_report",
+    "refreshed_after_correction", "missing_weekly_kpi", "rolled_yoy_top_stations_start", "rolled_yoy_top_stations_end",
+    "stored_hourly_kpis", "stored_weekly_kpi", "stored_monthly_kpis", "stored_yoy_change", "csv_scan", "archive_scan",
+    "landing_roundtrip",
+}
+
+
 def queries() -> dict[str, Query]:
     hour, month = schemas.HOURLY, schemas.MONTHLY
-    return {
+    found = {
         # cleaning
         "staging_clean": staging_clean,
         "raw_window": raw_window,
@@ -280,6 +467,11 @@ def queries() -> dict[str, Query]:
         "csv_scan": csv_scan,
         "archive_scan": archive_scan,
         "landing_roundtrip": landing_roundtrip,
+        "quarantined_csv": _quarantined("csv"),
+        "quarantined_archives": _quarantined("zip"),
+        "landed_months": landed_months,
+        "schema_drift": schema_drift,
+        "stored_layout": stored_layout,
         "window_replace": window_replace,
         "delete_insert": delete_insert,
         "full_refresh": full_refresh,
@@ -287,18 +479,26 @@ def queries() -> dict[str, Query]:
         "refreshed_hourly_report": _refreshed(schemas.HOURLY),
         "refreshed_monthly_report": _refreshed(schemas.MONTHLY),
         "refreshed_after_correction": refreshed_after_correction,
+        "refreshed_from_csv": _refreshed_from_files("csv"),
+        "refreshed_from_archives": _refreshed_from_files("zip"),
+        "refreshed_checks": refreshed_checks,
+        "refreshed_in_full": refreshed_in_full,
         "raw_lineage": raw_lineage,
+        "missing_weekly_kpi": missing_weekly_kpi,
+        "no_trips_kpis": _on_trips(no_trips_kpis),
         "stored_hourly_kpis": _stored(hour)(hourly.kpis),
         "stored_weekly_kpi": _stored(schemas.WEEKLY, hour)(weekly.kpi),
         "stored_monthly_kpis": _stored(month)(monthly.kpis),
         "stored_yoy_change": _stored(month)(lambda m: yoy.change(yoy.compared_months(m))),
         # reports
-        "hourly_report": _on_trips(reports.hourly),
-        "weekly_report": _on_trips(reports.weekly),
-        "monthly_report": _on_trips(reports.monthly),
+        "hourly_report": _report(reports.hourly),
+        "weekly_report": _report(reports.weekly),
+        "monthly_report": _report(reports.monthly),
         "rolled_hourly_report": _from_rollups(hour),
         "rolled_weekly_report": _from_rollups(schemas.WEEKLY),
         "rolled_monthly_report": _from_rollups(month),
+        "set_weekly_report": _from_sets(schemas.WEEKLY),
+        "set_monthly_report": _from_sets(month),
         # stations
         "top_stations_start": _top("start"),
         "top_stations_end": _top("end"),
@@ -309,6 +509,8 @@ def queries() -> dict[str, Query]:
         ),
         "yoy_top_stations_start": _years("start"),
         "yoy_top_stations_end": _years("end"),
+        "rolled_yoy_top_stations_start": rolled_yoy("start"),
+        "rolled_yoy_top_stations_end": rolled_yoy("end"),
         "yoy_station_table": _year_table("start"),
         "yoy_station_table_end": _year_table("end"),
         # hourly page
@@ -348,8 +550,15 @@ def queries() -> dict[str, Query]:
         "yoy_subtitle": _on_yoy(yoy.subtitle),
         "yoy_month_rides": _on_yoy(yoy.month_rides),
         "yoy_change": _on_yoy(yoy.change),
+        "yoy_change_absent_year": _on_report(
+            month, lambda m: yoy.change(yoy.compared_months(m, ABSENT), years=ABSENT)
+        ),
+        "yoy_stats_absent_year": _on_report(
+            month, lambda m: yoy.stats(yoy.compared_months(m, ABSENT), years=ABSENT)
+        ),
         "yoy_rides_by_member": _on_yoy(yoy.rides_by_member),
         "yoy_rides_by_bike": _on_yoy(yoy.rides_by_bike),
         "yoy_duration_by_month": _on_yoy(yoy.duration_by_month),
         "yoy_distance_by_month": _on_yoy(yoy.distance_by_month),
     }
+    return {name: _small(query) if name in WRITING else query for name, query in found.items()}

@@ -90,11 +90,21 @@ def write_archives(trips: DataFrame, folder: str) -> None:
 
 
 def write_spoiled(trips: DataFrame, folder: str, kind: str) -> None:
-    """As above, with records that don't fit the columns: a latitude in words, or the last field missing."""
+    """As above, as ``csv`` or ``zip``, with what real files have:
+
+    records that don't fit the columns, with a latitude in words or without the last field, and trips that
+    come with the next month's file.
+    """
     words = trips.withColumn("start_lat", F.when(wordy(), "north").otherwise(F.col("start_lat").cast("string")))
     short = F.to_csv(F.struct(*trips.columns[:-1]), _CSV)
-    records = words.select(_file_month(), F.when(cut_short(), short).otherwise(F.to_csv(F.struct("*"), _CSV)).alias("line"))
-    _write_files(records, trips.columns, folder, kind)
+    line = F.when(cut_short(), short).otherwise(F.to_csv(F.struct(*trips.columns), _CSV))
+    month = F.when(late(), F.date_format(F.add_months("started_at", 1), "yyyyMM")).otherwise(_file_month())
+    _write_files(words.select(month.alias("file_month"), line.alias("line")), trips.columns, folder, kind)
+
+
+def late() -> Column:
+    """Which trips come with the next month's file, as far as the backfill has one."""
+    return F.col("ride_id").rlike("3$") & (F.col("started_at") < F.lit("2026-02-01").cast("timestamp_ntz"))
 
 
 def wordy() -> Column:
@@ -108,11 +118,11 @@ def cut_short() -> Column:
 
 
 def _file_month() -> Column:
-    return F.date_format("started_at", "yyyyMM").alias("file_month")
+    return F.date_format("started_at", "yyyyMM")
 
 
 def _records(trips: DataFrame) -> DataFrame:
-    return trips.select(_file_month(), F.to_csv(F.struct(*trips.columns), _CSV).alias("line"))
+    return trips.select(_file_month().alias("file_month"), F.to_csv(F.struct(*trips.columns), _CSV).alias("line"))
 
 
 def _write_files(records: DataFrame, columns: list[str], folder: str, kind: str) -> None:

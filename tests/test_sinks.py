@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ts
+from spokeline import files as folders
 from spokeline import schemas
-from spokeline.operators import staging
+from spokeline.operators import quality, staging
 from spokeline.sinks import tables as sinks
 from spokeline.sources import tables
 
@@ -75,6 +76,7 @@ def test_a_hot_day_is_written_by_several_tasks(spark, raw, tmp_path):
         sinks.replace(hot.unionByName(raw(*on("2024-03-02"))), path, schemas.RAW)
     finally:
         spark.conf.set(advisory, before)
+    path = tables.current(spark, path)
     files = list(Path(path, "started_date=2024-03-01").glob("*.parquet"))
     assert len(files) > 3
     assert len(list(Path(path, "started_date=2024-03-02").glob("*.parquet"))) == 1
@@ -141,3 +143,56 @@ def test_replacing_by_nothing_empties_the_table(spark, raw, tmp_path):
     sinks.replace(raw(*on("2024-03-01")), path, schemas.RAW)
     sinks.replace(raw({}).where("false"), path, schemas.RAW)
     assert stored(spark, path) == []
+
+
+def test_a_table_is_replaced_in_one_step(spark, raw, tmp_path, monkeypatch):
+    """Until the switch the old rows are read, by then the new ones, and never none."""
+    path = str(tmp_path / "raw")
+    sinks.replace_window(raw(*on("2024-03-01")), path, schemas.RAW, WINDOW)  # not a version yet
+    seen, switch = [], folders.put_text
+
+    def watched(*args):
+        seen.append(stored(spark, path))
+        switch(*args)
+        seen.append(stored(spark, path))
+
+    monkeypatch.setattr(folders, "put_text", watched)
+    sinks.replace(raw(*on("2024-03-02")), path, schemas.RAW)
+    found_before = tables.read(spark, path, schemas.RAW)
+    sinks.replace(raw(*on("2024-03-03")), path, schemas.RAW)
+    assert seen == [["R2024-03-01"], ["R2024-03-02"], ["R2024-03-02"], ["R2024-03-03"]]
+    # Who found the table before the switch reads on.
+    assert [r.ride_id for r in found_before.collect()] == ["R2024-03-02"]
+    sinks.replace_window(raw(*on("2024-03-04")), path, schemas.RAW, WINDOW)
+    assert stored(spark, path) == ["R2024-03-04"]
+    assert sinks.stored_keys(spark, path, "started_date") == ["2024-03-04"]
+    # The version that counts, the one before, and the file that names it.
+    assert len([n for n in folders.names(spark, path) if not n.startswith(".")]) == 3
+
+
+def test_a_write_that_stops_before_the_switch_changes_nothing(spark, raw, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    sinks.replace(raw(*on("2024-03-01")), path, schemas.RAW)
+
+    def lost(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(OSError, match="lost"):
+        m.setattr(folders, "put_text", lost)
+        sinks.replace(raw(*on("2024-03-02")), path, schemas.RAW)
+    assert stored(spark, path) == ["R2024-03-01"]
+    sinks.replace(raw(*on("2024-03-02")), path, schemas.RAW)
+    assert stored(spark, path) == ["R2024-03-02"]
+    assert len([n for n in folders.names(spark, path) if n.startswith("_version-")]) == 2
+
+
+@pytest.mark.parametrize("write", ["replace", "replace_window"])
+def test_checks_are_counted_by_the_tasks_that_write(spark, raw, tmp_path, write):
+    rows = raw(*[{"ride_id": None if i % 3 == 0 else f"R{i}"} | on("2024-03-01")[0] for i in range(30)])
+    rows = rows.withColumn("ride_id", F.when(F.rand(3) < 0.5, F.col("ride_id")))
+    path, cleaned = str(tmp_path / "staging"), staging.enrich(rows).select(*schemas.STAGING.names)
+    checks = quality.Watch(schemas.STAGING)
+    more = (WINDOW,) if write == "replace_window" else ()
+    getattr(sinks, write)(cleaned, path, schemas.STAGING, *more, counts=checks.counts, seen=checks.seen)
+    afterwards = quality.check(tables.read(spark, path, schemas.STAGING), schemas.STAGING)
+    assert sorted(checks.report(spark).collect()) == sorted(afterwards.collect())

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spokeline import schemas
-from spokeline.operators import quality
+from spokeline.operators import drift, quality
 from spokeline.plans import refresh
 from spokeline.sources import trip_archive, trip_files
 
@@ -246,6 +246,66 @@ def test_bad_numbers_become_null_where_allowed(spark, tmp_path):
     assert {r.ride_id: r.start_lat for r in rows} == {"a": None, "b": 40.7}
 
 
+SPOILED = text(line("a"), line("b", lat="north"), line("c").rsplit(",", 1)[0], line("d") + ",more", line("e", lat=""))
+
+
+@pytest.mark.parametrize("kind", ["csv", "zip"])
+def test_records_that_cannot_be_read_are_kept_apart(spark, tmp_path, kind):
+    if kind == "csv":
+        (tmp_path / "202401-a.csv").write_text(SPOILED)
+        read = trip_files.read_csv
+    else:
+        with zipfile.ZipFile(tmp_path / "202401-a.zip", "w") as z:
+            z.writestr("a.csv", SPOILED)
+        read = trip_files.read_archives
+    rows = read(spark, str(tmp_path), bad_rows="PERMISSIVE")
+    records = {r.corrupt_record for r in rows.collect()}
+    assert records == {None, line("b", lat="north"), line("c").rsplit(",", 1)[0], line("d") + ",more"}
+    landing = str(tmp_path / "landing")
+    refresh.land(rows, landing)
+    assert sorted(r.ride_id for r in trip_files.read_landed(spark, landing).collect()) == ["a", "e"]
+    kept_apart = trip_files.read_quarantine(spark, landing, ["202401"])
+    assert {r.corrupt_record for r in kept_apart.collect()} == records - {None}
+    assert trip_files.read_quarantine(spark, landing, ["202402"]).count() == 0
+    # Whole files land in place of spoiled ones, and leave nothing behind.
+    refresh.land(rows.where("corrupt_record is null").drop("corrupt_record"), landing)
+    assert trip_files.read_quarantine(spark, landing).count() == 0
+    with pytest.raises(Exception, match="MALFORMED|north|Expected 13"):
+        read(spark, str(tmp_path)).collect()
+
+
+def test_landed_months_are_found_without_the_others(spark, tmp_path):
+    for month, starts in {"202401": ("2024-01-31",), "202402": ("2024-02-02", "2024-01-30"), "202403": ("nope",)}.items():
+        (tmp_path / f"{month}-t.csv").write_text(text(*[line(f"{month}-{d}", f"{d} 00:30:00") for d in starts]))
+    landing = str(tmp_path / "landing")
+    refresh.land(trip_files.read_csv(spark, str(tmp_path)), landing)
+    january = trip_files.read_landed_months(spark, landing, ["202401", "202312"])
+    # A late trip in a later file is found; files of other months are not even listed.
+    assert sorted(r.ride_id for r in january.collect()) == ["202401-2024-01-31", "202402-2024-01-30"]
+    assert all("/started_month=202401/" in f for f in january.inputFiles()) and len(january.inputFiles()) == 2
+    assert trip_files.read_landed_months(spark, landing, ["202305"]).count() == 0
+    assert trip_files.read_landed(spark, landing).count() == 4
+
+
+def test_a_file_that_brings_other_months_leaves_none_behind(spark, trips, tmp_path):
+    landing = str(tmp_path / "landing")
+    for day, ride in (("2024-01-05", "a"), ("2024-02-05", "b")):
+        start = datetime.fromisoformat(f"{day} 08:00:00")
+        refresh.land(trips({"ride_id": ride, "started_at": start}).withColumn("file_month", F.lit("202401")), landing)
+    assert [r.ride_id for r in trip_files.read_landed(spark, landing).collect()] == ["b"]
+
+
+def test_schemas_of_files_that_drifted(spark, trips, tmp_path):
+    ours = trips({})
+    ours.write.parquet(str(tmp_path / "a"))
+    ours.drop("ended_at").withColumn("start_lat", F.lit("x")).withColumn("more", F.lit(1)).write.parquet(str(tmp_path / "b"))
+    found = drift.differences(drift.file_columns(spark, str(tmp_path)), schemas.TRIPS)
+    assert {(r.column_name, r.declared, r.found) for r in found.collect() if "/b/" in r.file} == {
+        ("ended_at", "timestamp_ntz", None), ("more", None, "int"), ("start_lat", "double", "string"),
+    }
+    assert found.where("file like '%/a/%'").count() == 0
+
+
 @pytest.mark.parametrize(
     ("path", "uri"),
     [
