@@ -7,13 +7,22 @@ registers of a band are candidates. With similarity 0.8 a pair agrees in none of
 ``BANDS`` bands with a chance below one in a million.
 
 * Documents with equal sets are one class; its smallest doc_id goes on.
-* Candidates are grouped by connected bands, and groups are cut into blocks of
-  about ``BLOCK`` documents or ``BLOCK_BYTES`` of sets, so that a task sees two blocks at a time and a group
-  of any size is dealt over many tasks. No pair ever becomes a row.
-* In a task, pairs whose likelihood, given all registers and both set sizes,
-  points to a similarity clearly below the limit are left out; the others are
-  confirmed on the full sets. A task returns a spanning forest of its links.
+* Every document of a band value is tried with the value's hub, its smallest document: at
+  most one row per document and band, and first with the hub it shares most bands with. Links
+  found so make components, and hubs of a document's own component need no further test.
+* What is left are values whose other documents lie in several components. There, documents of
+  different components are tried with each other; a pair inside one needs no test, as it
+  can't change the result. In a group, the largest component is the crowd. Its documents meet
+  the other ones in blocks of about ``BLOCK`` and never each other, so that a group of near
+  copies costs work in proportion to its size, and one of any size is dealt over many tasks.
+* To be tried means: the likelihood of the similarity, given all registers and both set
+  sizes, is looked at first, on sketches alone. Pairs that it puts clearly below the limit
+  (five standard errors) are left out. What remains is confirmed on the full sets.
+  Tasks return spanning forests of links, so no pairs become rows beyond those with hubs.
 * Components of these links, and the classes, are the result.
+
+Shingles are told apart by 64-bit digests. What still grows with the square of a group are
+comparisons of documents that share band values, or are likely links, and yet are not linked.
 """
 
 from __future__ import annotations
@@ -21,9 +30,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokeline.llm import text_hashes
@@ -107,20 +115,37 @@ def _sketches(length: int):
     return make
 
 
-def _sets(length: int):
+def _likely_pairs(limit: float):
+    """Pairs of sketches whose likely similarity is at least ``limit``."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            one, two = (_registers(batch.column(n).to_pylist()) for n in ("one", "two"))
+            n, m = (batch.column(c).to_numpy().astype(float) for c in ("n", "m"))
+            found = likely((one > two).sum(axis=1), (one < two).sum(axis=1), n, m, limit)
+            yield batch.select(["a", "b", "bands"]).filter(pa.array(found))
+
+    return pick
+
+
+def _registers(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), REGISTER).reshape(len(sketches), REGISTERS)
+
+
+def _with_sets(length: int):
+    """Sets of documents in place of their texts. Texts that share a doc_id only are told apart by their sets."""
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         for batch in batches:
-            sets = [shingles(t.as_py(), length) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("candidate"),
-                    batch.column("blocks"),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([sketch(s).tobytes() for s in sets], pa.binary()),
-                ],
-                ["doc_id", "candidate", "blocks", "set", "sketch"],
-            )
+            sets = [shingles(t.as_py(), length).tobytes() for t in batch.column("text")]
+            meant = [xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, batch.column("digest").to_pylist())]
+            at = batch.schema.get_field_index("text")
+            found = batch.set_column(at, "set", pa.array(sets, pa.binary())).filter(pa.array(meant, pa.bool_()))
+            yield found.drop_columns(["digest"])
 
     return make
 
@@ -144,47 +169,91 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def _confirm(percent: int):
-    def links(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        """A spanning forest of the links in one block or between two."""
-        group = group.sort_values("doc_id")
-        ids = group["doc_id"].to_numpy()
-        block = group["block"].to_numpy()
-        none = pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        if len(ids) < 2:
-            return none
-        sets = [np.frombuffer(s, np.uint64) for s in group["set"]]
-        size = np.array([len(s) for s in sets])
-        registers = np.stack([np.frombuffer(s, REGISTER) for s in group["sketch"]])
-        above = np.zeros((len(ids), len(ids)), dtype=np.int32)
-        for register in registers.T:
-            above += register[:, None] > register[None, :]
-        tried = likely(above, above.T, size[:, None], size[None, :], percent / 100 - MARGIN)
-        tried &= np.triu(np.ones_like(tried), 1).astype(bool)
-        if block.min() != block.max():  # pairs inside a block have their own task
-            tried &= block[:, None] != block[None, :]
-        some = np.flatnonzero(tried.any(axis=0) | tried.any(axis=1))
-        if not len(some):
-            return none
-        both = _overlaps([sets[i] for i in some])
-        union = size[some][:, None] + size[some][None, :] - both
-        linked = (100 * both >= percent * union) & tried[np.ix_(some, some)]
-        root, found = list(range(len(some))), []
-
-        def top(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for i, j in zip(*np.nonzero(linked)):
-            x, y = top(int(i)), top(int(j))
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                found.append((ids[some[i]], ids[some[j]]))
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return links
+def _forest(ids: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links of a matrix."""
+    root, found = list(range(len(ids))), []
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in zip(*np.nonzero(linked)):
+        x, y = top(int(i)), top(int(j))
+        if x != y:
+            root[max(x, y)] = min(x, y)
+            found.append((int(ids[i]), int(ids[j])))
+    return found
+
+
+def _tried(table: pa.Table, limit: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of a task's documents are likely links, i before j, and set sizes.
+
+    Pairs within a block have a task of their own, and pairs of one component need none.
+    """
+    block, component, size = (table.column(c).to_numpy() for c in ("block", "component", "n_shingles"))
+    registers = _registers(table.column("sketch").to_pylist())
+    above = np.zeros((len(size), len(size)), dtype=np.int32)
+    for register in registers.T:
+        above += register[:, None] > register[None, :]
+    tried = likely(above, above.T, size[:, None].astype(float), size[None, :].astype(float), limit)
+    tried &= np.triu(np.ones_like(tried), 1).astype(bool) & (component[:, None] != component[None, :])
+    if block.min() != block.max():
+        tried &= block[:, None] != block[None, :]
+    return tried, size
+
+
+def _links_of(table: pa.Table, percent: int, limit: float) -> list[tuple[int, int]]:
+    """A spanning forest of a task's links: likely ones, or confirmed ones where sets are given."""
+    tried, size = _tried(table, limit)
+    some = np.flatnonzero(tried.any(axis=0) | tried.any(axis=1))
+    if not len(some):
+        return []
+    ids, tried = table.column("doc_id").to_numpy()[some], tried[np.ix_(some, some)]
+    if "set" in table.column_names:
+        sets = table.column("set").take(pa.array(some)).to_pylist()
+        both = _overlaps([np.frombuffer(s, np.uint64) for s in sets])
+        tried &= 100 * both >= percent * (size[some][:, None] + size[some][None, :] - both)
+    return _forest(ids, tried)
+
+
+TASK = ("group", "one", "two")
+
+
+def _in_tasks(percent: int, limit: float):
+    """Links of all tasks of a partition, which come sorted, one task after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches):
+            found = _links_of(table, percent, limit) if table.num_rows > 1 else []
+            if found:
+                columns = [pa.array(c, pa.int64()) for c in zip(*found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return run
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of one task each, from rows sorted by task. A task is held whole, of other rows a batch."""
+    held: list[pa.RecordBatch] = []
+
+    def key(batch: pa.RecordBatch, row: int) -> tuple:
+        return tuple(batch.column(c)[row].as_py() for c in TASK)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in TASK])
+        begins = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        bounds = [0, *begins.tolist(), batch.num_rows]
+        for at, end in zip(bounds, bounds[1:]):
+            if held and key(held[-1], 0) != key(batch, at):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
@@ -208,16 +277,26 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
             _sketches(shingle_words), "doc_id long, n_shingles long, digest binary, sketch binary"
         )
     )
-    named = sketched.where("digest is not null and doc_id is not null").drop("n_shingles")
+    named = sketched.where("digest is not null and doc_id is not null")
     classed = checkpointed(with_minimum(named, ["digest"], "doc_id", "doc_id", "first").drop("first_of"))
-    firsts = classed.where("doc_id = first").select("doc_id", "sketch").distinct()
-    candidates = checkpointed(components(_candidates(firsts)))
-    sizes = sketched.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
-    found = checkpointed(components(_links(docs, _blocks(candidates, sizes), shingle_words, percent)))
+    firsts = checkpointed(classed.where("doc_id = first").select("doc_id", "n_shingles", "digest", "sketch").distinct())
+    limit = percent / 100 - MARGIN
+    members = checkpointed(_shared_values(firsts))
+    stars = checkpointed(_likely_stars(members, firsts, limit))
+    main = stars.groupBy("b").agg(F.max_by("a", F.struct(F.col("bands"), -F.col("a"))).alias("a"))
+    nearest = checkpointed(_confirmed(docs, _star_tasks(main, firsts), firsts, shingle_words, percent))
+    apart = _apart(stars.join(main, ["a", "b"], "left_anti"), _parts(nearest))
+    linked = nearest.unionByName(
+        checkpointed(_confirmed(docs, _star_tasks(apart, firsts), firsts, shingle_words, percent))
+    )
+    parts = _parts(linked)
+    likely_ = checkpointed(_linked_in(_open_values(members, parts), firsts, percent, limit))
+    more = checkpointed(_confirmed(docs, _open_groups(likely_, parts), firsts, shingle_words, percent))
+    found = linked.unionByName(more)
     # Rows of one doc_id have one component, its classes' smallest.
     of_first = classed.select("doc_id", "first").distinct()
     joined = components(
-        found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(
+        found.unionByName(
             of_first.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
         )
     )
@@ -233,8 +312,17 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     )
 
 
-def _candidates(firsts: DataFrame) -> DataFrame:
-    """Links of a star in every band value that several documents share.
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+
+
+def _per_salt(df: DataFrame) -> DataFrame:
+    """A row for every salt, to be joined to rows that are dealt by theirs."""
+    return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _shared_values(firsts: DataFrame) -> DataFrame:
+    """Documents of every band value that several have: value, hub (the smallest of them), doc_id.
 
     Counts are summed in each task before they are shuffled. Values that several
     share are a small part of all; each is repeated per salt, so that documents
@@ -246,66 +334,157 @@ def _candidates(firsts: DataFrame) -> DataFrame:
         lambda k: F.xxhash64(k, F.substring("sketch", k * width + 1, F.lit(width))),
     )
     banded = firsts.select("doc_id", F.explode(values).alias("value"))
-    shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    salted = shared.select("value", "hub", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    own_salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-    starred = banded.withColumn("salt", own_salt).join(salted, ["value", "salt"])
-    return starred.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
-
-
-def _blocks(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Documents of candidate groups, and how many blocks their group has."""
-    sized = candidates.join(sizes, F.col("node") == F.col("doc_id"))
-    # Few rows a group and task reach the shuffle, so that a group of any size is summed in all tasks.
-    groups = sized.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
-    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
-    groups = groups.select("component", blocks.alias("blocks"))
-    salted = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own_salt = F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")
-    return (
-        candidates.withColumn("salt", own_salt)
-        .join(salted, ["component", "salt"])
-        .select(F.col("node").alias("id"), F.col("component").alias("candidate"), "blocks")
+    shared = banded.groupBy("value").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"))
+    salted = _per_salt(shared.where("hub <> last").select("value", "hub"))
+    return banded.withColumn("salt", _salt("doc_id")).join(salted, ["value", "salt"]).select("value", "hub", "doc_id")
+
+
+def _likely_stars(members: DataFrame, firsts: DataFrame, limit: float) -> DataFrame:
+    """(a hub, b document, bands they share) of all band values that are likely links."""
+    pairs = (
+        members.where("doc_id <> hub")
+        .groupBy(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+        .agg(F.count(F.lit(1)).alias("bands"))
     )
+    one = firsts.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("sketch").alias("one"))
+    two = firsts.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("sketch").alias("two"))
+    hubs = _per_salt(one.join(pairs.select("a").distinct(), "a", "left_semi"))
+    both = pairs.withColumn("salt", _salt("b")).join(hubs, ["a", "salt"]).join(two, "b")
+    tried = both.select("a", "b", "bands", "n", "m", "one", "two")
+    return tried.mapInArrow(_likely_pairs(limit), "a long, b long, bands long").distinct()
 
 
-def _links(docs: DataFrame, sized: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Confirmed links: a spanning forest for each two blocks of a candidate group."""
-    sets = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .join(sized, F.col("doc_id") == F.col("id"))
-        .select("doc_id", "text", "candidate", "blocks")
-        .mapInArrow(
-            _sets(shingle_words), "doc_id long, candidate long, blocks int, set binary, sketch binary"
-        )
+def _parts(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("doc_id"), "component")
+
+
+def _apart(stars: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs whose documents are not connected yet. Parts of hubs are repeated per salt."""
+    of_b = stars.join(parts.select(F.col("doc_id").alias("b"), F.col("component").alias("of_b")), "b", "left")
+    hubs = parts.join(stars.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    of_a = _per_salt(hubs.select(F.col("doc_id").alias("a"), F.col("component").alias("of_a")))
+    both = of_b.withColumn("salt", _salt("b")).join(of_a, ["a", "salt"], "left")
+    return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+
+
+def _star_tasks(stars: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Hubs and the documents that are likely linked with them, in tasks: the hub meets all, they don't meet."""
+    hub = F.col("a").alias("group")
+    rays = stars.select(hub, F.col("b").alias("doc_id"), F.lit(1).alias("side"))
+    hubs = stars.select(hub, F.col("a").alias("doc_id"), F.lit(0).alias("side")).distinct()
+    return _tasks(rays.unionByName(hubs).withColumn("component", F.col("doc_id")), firsts)
+
+
+def _open_values(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """Documents of values that, without the hub, which all were tried with, lie in several components."""
+    placed = members.where("doc_id <> hub").select(F.col("value").alias("group"), "doc_id").distinct()
+    labelled = placed.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return _sided(labelled)
+
+
+def _open_groups(likely_: DataFrame, parts: DataFrame) -> DataFrame:
+    """Documents that likely links connect beyond their components, by group."""
+    groups = components(likely_).select(F.col("node").alias("doc_id"), F.col("component").alias("group"))
+    labelled = groups.join(parts, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return _sided(labelled)
+
+
+def _sided(labelled: DataFrame) -> DataFrame:
+    """Groups of several components, with side 1 for documents of the largest and 0 for the others."""
+    counted = labelled.groupBy("group", "component").agg(F.count(F.lit(1)).alias("n"))
+    crowds = counted.groupBy("group").agg(
+        F.max_by("component", F.struct(F.col("n"), -F.col("component"))).alias("crowd"), F.count(F.lit(1)).alias("parts")
+    )
+    salted = _per_salt(crowds.where("parts > 1").select("group", "crowd"))
+    placed = labelled.withColumn("salt", _salt("doc_id")).join(salted, ["group", "salt"])
+    return placed.select("group", "doc_id", "component", (F.col("component") == F.col("crowd")).cast("int").alias("side"))
+
+
+def _tasks(members: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Rows (group, one, two, block, doc_id, component) of the tasks that let side 0 meet all of its group.
+
+    Blocks of side 0 are numbered before those of side 1. A document of side 0 goes to a task for
+    every block, one of side 1 to a task for every block of side 0.
+    """
+    sized = members.join(firsts.select("doc_id", "n_shingles"), "doc_id")
+    own = F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles")
+    sides = sized.groupBy("group", "side").agg(*own)
+    needed = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") * 8 / BLOCK_BYTES)).cast("int")
+    blocks = sides.groupBy("group").agg(
+        *[F.coalesce(F.max(F.when(F.col("side") == k, needed)), F.lit(0)).alias(f"blocks_{k}") for k in (0, 1)]
     )
-    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    placed = sized.withColumn("salt", _salt("doc_id")).join(_per_salt(blocks), ["group", "salt"])
+    few, many = F.col("blocks_0"), F.col("blocks_1")
+    hashed = F.xxhash64("doc_id", F.lit("block"))
+    block = F.when(F.col("side") == 0, F.pmod(hashed, few)).otherwise(few + F.pmod(hashed, F.greatest(many, F.lit(1))))
+    met = F.when(F.col("side") == 0, few + many).otherwise(few)
     return (
-        sets.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(others))
-        .withColumn("one", F.least("block", "other"))
-        .withColumn("two", F.greatest("block", "other"))
-        .select("doc_id", "candidate", "one", "two", "block", "set", "sketch")
-        .groupBy("candidate", "one", "two")
-        .applyInPandas(_confirm(percent), "a long, b long")
+        placed.withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), met - 1)))
+        .select(
+            "group",
+            F.least("block", "other").alias("one"),
+            F.greatest("block", "other").alias("two"),
+            "block",
+            "doc_id",
+            "component",
+        )
+    )
+
+
+def _run(rows: DataFrame, percent: int, limit: float) -> DataFrame:
+    dealt = rows.repartition(*TASK).sortWithinPartitions(*TASK, "doc_id")
+    return dealt.mapInArrow(_in_tasks(percent, limit), "a long, b long")
+
+
+def _linked_in(members: DataFrame, firsts: DataFrame, percent: int, limit: float) -> DataFrame:
+    """Likely links between documents of different components, by sketches alone."""
+    tasks = _tasks(members, firsts).join(firsts, "doc_id")
+    return _run(tasks.select(*TASK, "block", "doc_id", "component", "n_shingles", "sketch"), percent, limit)
+
+
+def _confirmed(docs: DataFrame, members: DataFrame, firsts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """Links confirmed on full sets. A document's set is made once and then sent to its tasks."""
+    tasks = members if "one" in members.columns else _tasks(members, firsts)
+    of = tasks.groupBy("doc_id").agg(
+        F.collect_list(F.struct("group", "one", "two", "block", "component")).alias("tasks")
+    )
+    wanted = of.join(firsts, "doc_id").withColumnRenamed("doc_id", "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"))
+    sets = texts.select("doc_id", "n_shingles", "digest", "sketch", "tasks", "text").mapInArrow(
+        _with_sets(shingle_words),
+        "doc_id long, n_shingles long, sketch binary, "
+        "tasks array<struct<group long, one int, two int, block int, component long>>, set binary",
     )
+    rows = sets.select("doc_id", "n_shingles", "sketch", "set", F.explode("tasks").alias("task"))
+    rows = rows.select("task.*", "doc_id", "n_shingles", "sketch", "set")
+    return _run(rows, percent, percent / 100 - MARGIN)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """A number per different doc_id and text, in the order of doc_id, null ones last, and of the texts' digests."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text_of(), 256).alias("digest")).distinct()
+    ordered = named.orderBy(F.asc_nulls_last("doc_id"), "digest")
+    return checkpointed(ordered.withColumn("number", F.monotonically_increasing_id()))
 
 
 def representatives(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, with all its columns.
+    """One document of each group, with all its columns, whatever they are called.
 
-    Texts without a doc_id count as documents with larger ids than all others, in the
-    order of their digests, so one stays unless it is linked with a document before it.
+    A document is a doc_id and a text. Of each group the one with the smallest doc_id stays; null
+    ones come after all others, equal ones go by the digests of their texts. Rows that repeat a document
+    stay or go together. Texts of any length are compared whole; an empty table gives no rows.
     """
-    doc_id, digest = F.col("doc_id").cast("long"), F.sha2(text_of(), 256)
-    keyed = docs.withColumn("key__", doc_id)
-    unnamed = docs.where(doc_id.isNull())
-    if not unnamed.isEmpty():
-        first = (docs.agg(F.max(doc_id)).first()[0] or 0) + 1
-        texts = checkpointed(unnamed.select(digest.alias("digest__")).distinct().orderBy("digest__"))
-        numbers = texts.withColumn("key__", F.lit(first) + F.monotonically_increasing_id())
-        numbered = unnamed.withColumn("digest__", digest).join(numbers, "digest__").drop("digest__")
-        keyed = keyed.where(doc_id.isNotNull()).unionByName(numbered)
-    found = near_duplicates(keyed.select(F.col("key__").alias("doc_id"), "text"), shingle_words, percent)
-    kept = found.where("kept").select(F.col("doc_id").alias("id__")).distinct()
-    return keyed.join(kept, F.col("key__") == F.col("id__"), "left_semi").drop("key__")
+    numbers = _numbered(docs)
+    if numbers.where("doc_id is null").isEmpty() and numbers.count() == numbers.select("doc_id").distinct().count():
+        # Here doc_ids tell documents apart as well as the numbers would, and in the same order.
+        known = docs.select(F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("number"))
+    else:
+        whole = docs.select(
+            F.struct("*").alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text_of(), 256).alias("digest")
+        )
+        on = whole["doc_id"].eqNullSafe(numbers["doc_id"]) & (whole["digest"] == numbers["digest"])
+        known = checkpointed(whole.join(numbers, on).select("doc", "number"))
+    texts = known.select(F.col("number").alias("doc_id"), F.col("doc.text").alias("text"))
+    kept = near_duplicates(texts, shingle_words, percent).where("kept").select(F.col("doc_id").alias("kept")).distinct()
+    return known.join(kept, F.col("number") == F.col("kept"), "left_semi").select("doc.*")

@@ -101,10 +101,79 @@ def test_components(spark):
 def test_blocks_are_cut_by_bytes_too(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
     monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 8000)
-    candidates = spark.createDataFrame([(i, i // 10 * 10) for i in range(40)], "node long, component long")
+    rows = [(i // 10 * 10, i, i, int(i % 10 > 0)) for i in range(40)]
+    members = spark.createDataFrame(rows, "group long, doc_id long, component long, side int")
     sizes = spark.createDataFrame([(i, 1 if i < 20 else 900) for i in range(50)], "doc_id long, n_shingles long")
-    blocks = {r["id"]: (r["candidate"], r["blocks"]) for r in near_dedup._blocks(candidates, sizes).collect()}
-    assert blocks == {i: (i // 10 * 10, 3 if i < 20 else 9) for i in range(40)}
+    tasks = near_dedup._tasks(members, sizes).collect()
+    for group, blocks in ((0, 3), (20, 9)):  # nine documents on side 1, by number and by bytes
+        met = {r["other"] for r in ({"other": r["two"]} for r in tasks if r["group"] == group and r["doc_id"] == group)}
+        assert met == set(range(blocks + 1))
+        crowd = [r for r in tasks if r["group"] == group and r["doc_id"] != group]
+        assert len(crowd) == 9 and {r["one"] for r in crowd} == {0}
+
+
+def near_copies(n, seed=3):
+    """Texts of 400 words, each with a word or two of its own, and some unlike all others."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(400)] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    return rows + [(n + i, " ".join(f"x{i}y{j}" for j in range(60))) for i in range(5)]
+
+
+def test_copied_sets_grow_with_the_group(docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    sent, run = [], near_dedup._run
+
+    def counted(rows, *more):
+        sent.append(rows.count())
+        return run(rows, *more)
+
+    monkeypatch.setattr(near_dedup, "_run", counted)
+    totals = []
+    for n in (250, 500, 1000):
+        sent.clear()
+        result = near_dedup.near_duplicates(docs_of(near_copies(n)), 5).collect()
+        assert {r["component_id"] for r in result if r["doc_id"] < n} == {0}
+        totals.append(sum(sent))
+    # In proportion to the group, where blocks of all with all would take n / 16 copies of every set.
+    assert totals[1] < 2.3 * totals[0] and totals[2] < 2.3 * totals[1] and totals[2] < 4 * 1000
+
+
+def test_links_within_values_of_several_components(docs_of, monkeypatch):
+    """Chains whose ends are not linked, several to a value, and hubs that link with few."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 8)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(4000)}" for _ in range(160)]
+    rows, w = [], list(base)
+    for i in range(120):
+        if i % 30 == 0:  # a family that shares half of its words with the others
+            w = base[:80] + [f"f{i}w{j}" for j in range(80)]
+        for _ in range(3):
+            w[rng.randrange(160)] = f"c{i}w{rng.randrange(50)}"
+        rows.append((i, " ".join(w)))
+    rng.shuffle(rows)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert found(near_dedup.near_duplicates(docs_of(rows), 4)) == brute(rows, 4)
+
+
+def test_representatives_decide_by_document(spark, docs_of):
+    """Null and repeated doc_ids, the largest one, and columns named like the operator's own."""
+    texts = [" ".join(f"t{k}w{j}" for j in range(40)) for k in range(5)]
+    big = 2**63 - 1
+    rows = [(big, texts[0]), (None, texts[0] + " more"), (None, texts[1]), (5, texts[2]), (5, texts[3]), (6, texts[3] + " x")]
+    df = docs_of(rows)
+    for name in ("key__", "id__", "digest__", "number", "kept", "salt", "digest"):
+        df = df.withColumn(name, near_dedup.F.lit(7))
+    out = near_dedup.representatives(df)
+    assert out.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == sorted(
+        [(big, texts[0]), (0, texts[1]), (5, texts[2]), (5, texts[3])]
+    )
 
 
 def test_long_near_copies_in_several_blocks(docs_of, monkeypatch):
