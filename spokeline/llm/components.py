@@ -18,7 +18,7 @@ def components(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     state = _state(edges)
-    while True:
+    while state[0]:  # without links there is nothing to do
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = with_minimum(both, ["u"], "v", "v").where("v > u")
         large = large.select(F.col("v").alias("u"), F.least("least", "u").alias("v")).distinct()

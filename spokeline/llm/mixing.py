@@ -86,13 +86,19 @@ def _shuffled(sized: DataFrame) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+def _order(doc_id: Column, seed: str) -> Column:
+    return F.md5(F.concat_ws(":", F.lit(seed), doc_id.cast("string")).cast("binary"))
+
+
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix", order: Column | None = None
+) -> DataFrame:
     """Every document with the words that the mix takes from it.
 
     Size is the number of words. Returns doc_id, source, size, source_size, target (both
     of its source) and taken: size times the number of times it is taken, 0 to
-    ``MOST_TIMES``. The order comes from a digest of ``seed`` and doc_id, so
-    reruns agree.
+    ``MOST_TIMES``. The order comes from a digest of ``seed`` and doc_id, or from ``order``, hex
+    digits as well, so reruns agree.
 
     * Null texts have size 0 and are not taken; documents without a source are
       one source. A source without words has target 0.
@@ -101,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix")
       doc_id, source and size are taken as one.
     * An empty table gives no rows; further columns are ignored.
     """
-    shuffled = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")).cast("binary"))
+    shuffled = _order(F.col("doc_id"), seed) if order is None else order
     sized = checkpointed(
         docs.select("doc_id", "source", word_count().alias("size"), shuffled.alias("shuffled")).withColumn(
             "slice", F.substring("shuffled", 1, SLICE_DIGITS)
@@ -176,13 +182,36 @@ def _cut(queued: DataFrame) -> tuple | None:
     return tuple(last) if last is not None else None
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The mix as documents: each as often as it is taken, with all its columns."""
-    taken = mix(docs, weights).where("taken > 0")
-    times = taken.groupBy("doc_id").agg(F.max(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    whole = docs.select(F.struct("*").alias("doc"))  # whatever its columns are called
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+    """The mix as documents: each as often as it is taken, with all its columns, whatever they are called.
+
+    Rows are told apart by doc_id, text and source, so that the mix has the words that ``mix`` takes,
+    also where doc_ids repeat or are null. Repeated rows share what is taken of them, row by row as
+    their columns sort. Null and empty texts are not taken. An empty table gives no rows.
+    """
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    doc_id, source, digest = F.col("doc.doc_id"), F.col("doc.source"), F.sha2(text, 256)
+    name = F.concat_ws(
+        ":",
+        F.coalesce(doc_id.cast("string"), F.lit("-")),
+        digest,
+        F.when(source.isNull(), "-").otherwise(F.concat(F.lit("+"), source)),
+    )
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", name.alias("name"))
+    order = F.when(doc_id.isNotNull(), _order(doc_id, seed)).otherwise(_order(digest, seed))
+    named = rows.select(F.col("name").alias("doc_id"), text.alias("text"), source.alias("source"), order.alias("order__"))
+    taken = mix(named, weights, seed, F.col("order__")).where("taken > 0")
+    shares = taken.groupBy(F.col("doc_id").alias("name")).agg(
+        F.sum(F.col("taken") / F.col("size")).cast("long").alias("times")
+    )
+    kinds = [f"doc.`{c}`" for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    alike = Window.partitionBy("name")
+    nth = F.row_number().over(alike.orderBy(*kinds))
+    shared = rows.join(shares, "name").withColumns({"nth": nth, "rows": F.count(F.lit(1)).over(alike)})
+    own = F.expr("times div rows") + F.when(F.col("nth") <= F.col("times") % F.col("rows"), 1).otherwise(0)
     return (
-        whole.join(times.withColumnRenamed("doc_id", "id"), F.col("doc.doc_id").eqNullSafe(F.col("id")))
-        .select("doc", F.explode(F.sequence(F.lit(1), F.col("times"))))
+        shared.withColumn("own", own)
+        .where("own > 0")
+        .select("doc", F.explode(F.sequence(F.lit(1), F.col("own").cast("int"))))
         .select("doc.*")
     )

@@ -283,15 +283,20 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     limit = percent / 100 - MARGIN
     members = checkpointed(_shared_values(firsts))
     stars = checkpointed(_likely_stars(members, firsts, limit))
+    ends = stars.select(F.col("a").alias("doc_id")).unionByName(stars.select(F.col("b").alias("doc_id"))).distinct()
+    sets = checkpointed(_sets(docs, ends, firsts, shingle_words))
     main = stars.groupBy("b").agg(F.max_by("a", F.struct(F.col("bands"), -F.col("a"))).alias("a"))
-    nearest = checkpointed(_confirmed(docs, _star_tasks(main, firsts), firsts, shingle_words, percent))
-    apart = _apart(stars.join(main, ["a", "b"], "left_anti"), _parts(nearest))
-    linked = nearest.unionByName(
-        checkpointed(_confirmed(docs, _star_tasks(apart, firsts), firsts, shingle_words, percent))
-    )
+    nearest = checkpointed(_confirmed(sets, _star_tasks(main, firsts), percent))
+    apart = _apart(stars.join(main, ["a", "b"], "left_anti"), _roots(nearest))
+    linked = nearest.unionByName(checkpointed(_confirmed(sets, _star_tasks(apart, firsts), percent)))
     parts = _parts(linked)
     likely_ = checkpointed(_linked_in(_open_values(members, parts), firsts, percent, limit))
-    more = checkpointed(_confirmed(docs, _open_groups(likely_, parts), firsts, shingle_words, percent))
+    more = linked.limit(0)
+    if not likely_.isEmpty():
+        tasks = checkpointed(_tasks(_open_groups(likely_, parts), firsts))
+        rest = tasks.select("doc_id").distinct().join(ends, "doc_id", "left_anti")
+        both = sets.unionByName(_sets(docs, rest, firsts, shingle_words)) if not rest.isEmpty() else sets
+        more = checkpointed(_confirmed(both, tasks, percent))
     found = linked.unionByName(more)
     # Rows of one doc_id have one component, its classes' smallest.
     of_first = classed.select("doc_id", "first").distinct()
@@ -358,6 +363,17 @@ def _parts(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("doc_id"), "component")
 
 
+def _roots(nearest: DataFrame) -> DataFrame:
+    """Documents and what they hang on: the hub they are linked with, or that hub's own.
+
+    A document has one such hub, which is smaller. Chains are followed for two steps, which is enough to
+    skip most tests; no result depends on it.
+    """
+    up = nearest.select(F.col("b").alias("doc_id"), F.col("a").alias("hub")).distinct()
+    above = up.select(F.col("doc_id").alias("hub"), F.col("hub").alias("top"))
+    return up.join(above, "hub", "left").select("doc_id", F.coalesce("top", "hub").alias("component"))
+
+
 def _apart(stars: DataFrame, parts: DataFrame) -> DataFrame:
     """Pairs whose documents are not connected yet. Parts of hubs are repeated per salt."""
     of_b = stars.join(parts.select(F.col("doc_id").alias("b"), F.col("component").alias("of_b")), "b", "left")
@@ -443,20 +459,21 @@ def _linked_in(members: DataFrame, firsts: DataFrame, percent: int, limit: float
     return _run(tasks.select(*TASK, "block", "doc_id", "component", "n_shingles", "sketch"), percent, limit)
 
 
-def _confirmed(docs: DataFrame, members: DataFrame, firsts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
-    """Links confirmed on full sets. A document's set is made once and then sent to its tasks."""
-    tasks = members if "one" in members.columns else _tasks(members, firsts)
+def _sets(docs: DataFrame, ids: DataFrame, firsts: DataFrame, shingle_words: int) -> DataFrame:
+    """Sets and sketches of some documents, made from their texts."""
+    wanted = firsts.join(ids, "doc_id", "left_semi").withColumnRenamed("doc_id", "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"))
+    return texts.select("doc_id", "n_shingles", "digest", "sketch", "text").mapInArrow(
+        _with_sets(shingle_words), "doc_id long, n_shingles long, sketch binary, set binary"
+    )
+
+
+def _confirmed(sets: DataFrame, tasks: DataFrame, percent: int) -> DataFrame:
+    """Links confirmed on full sets, which go to the tasks of their documents."""
     of = tasks.groupBy("doc_id").agg(
         F.collect_list(F.struct("group", "one", "two", "block", "component")).alias("tasks")
     )
-    wanted = of.join(firsts, "doc_id").withColumnRenamed("doc_id", "id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("id"))
-    sets = texts.select("doc_id", "n_shingles", "digest", "sketch", "tasks", "text").mapInArrow(
-        _with_sets(shingle_words),
-        "doc_id long, n_shingles long, sketch binary, "
-        "tasks array<struct<group long, one int, two int, block int, component long>>, set binary",
-    )
-    rows = sets.select("doc_id", "n_shingles", "sketch", "set", F.explode("tasks").alias("task"))
+    rows = sets.join(of, "doc_id").select("doc_id", "n_shingles", "sketch", "set", F.explode("tasks").alias("task"))
     rows = rows.select("task.*", "doc_id", "n_shingles", "sketch", "set")
     return _run(rows, percent, percent / 100 - MARGIN)
 

@@ -191,6 +191,16 @@ def quality(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def passing(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    kept = quality(docs, host).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The documents that are kept, with all their columns, whatever they are called.
+
+    A row is judged by its own text and host: rows that share a doc_id, or have none, are told
+    apart by their texts, and repeated rows stay or go together. Null and empty texts go, a null
+    host is a host. Texts of any length are measured whole. An empty table gives no rows.
+    """
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
+    name = F.concat_ws(":", F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("-")), F.sha2(text, 256))
+    of = F.col(f"doc.`{host}`")
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", name.alias("doc_id"), text.alias("text"), of.alias("host"))
+    kept = quality(rows, "host").where("kept").select(F.col("doc_id").alias("name"), F.col("host").alias("of")).distinct()
+    on = (rows["doc_id"] == kept["name"]) & rows["host"].eqNullSafe(kept["of"])
+    return rows.join(kept, on, "left_semi").select("doc.*")

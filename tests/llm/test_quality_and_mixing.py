@@ -129,3 +129,42 @@ def test_mixed_repeats_documents(docs_of):
     taken = {r["doc_id"]: r["taken"] // 3 for r in as_dicts(mixing.mix(docs_of(rows)))}
     assert times == Counter({k: v for k, v in taken.items() if v})
     assert out.columns == docs_of([]).columns
+
+
+def test_passing_judges_rows_by_their_own_texts(docs_of):
+    rows = [(None, LONG), (None, "x"), (5, LONG + " more"), (5, "bad"), (6, LONG, None), (6, LONG, "t"), (7, None)]
+    df = docs_of(rows)
+    for name in ("name", "of", "doc", "kept", "salt"):
+        df = df.withColumn(name, mixing.F.lit(1))
+    out = quality.passing(df)
+    assert out.columns == df.columns
+    found = Counter((r["doc_id"], r["text"], r["source"]) for r in out.collect())
+    assert found == Counter([(None, LONG, "s"), (5, LONG + " more", "s"), (6, LONG, None), (6, LONG, "t")])
+
+
+def test_mixed_delivers_what_the_mix_takes(docs_of):
+    """Rows without doc_id, and some that repeat one, keep to the budget."""
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    rows = [(None, text(rng.randrange(5, 30)), rng.choice(["rich", "poor", None])) for _ in range(62)]
+    rows += [(1, text(20), "rich"), (1, text(9), "rich"), (1, text(9), "poor"), (2, "", "rich"), (3, None, "poor")]
+    rows += [rows[0]] * 3
+    df = docs_of(rows)
+    for name in ("name", "times", "nth", "own", "rows", "doc", "order__"):
+        df = df.withColumn(name, mixing.F.lit(1))
+    out = mixing.mixed(df)
+    assert out.columns == df.columns
+    found = Counter((r["doc_id"], r["text"], r["source"]) for r in out.collect())
+    assert set(found) <= set(rows)
+    times = Counter(rows)
+    assert all(n <= 3 * times[r] for r, n in found.items())
+    total = sum(len(words(t)) for _, t, _ in rows)
+    largest = max(len(words(t)) for _, t, _ in rows)
+    assert total - largest < sum(n * len(words(t)) for (_, t, _), n in found.items()) <= total
+    by_source = Counter()
+    for (_, t, source), n in found.items():
+        by_source[source] += n * len(words(t))
+    sizes = mixing.targets(df.groupBy("source").agg(mixing.F.sum(mixing.word_count()).alias("source_size")))
+    for r in sizes.collect():
+        assert abs(by_source[r["source"]] - r["target"]) <= 3 * largest
+    assert Counter((r["doc_id"], r["text"], r["source"]) for r in mixing.mixed(df).collect()) == found
