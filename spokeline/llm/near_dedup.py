@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from spokeline.llm import text_hashes
 from spokeline.llm.components import components
 from spokeline.llm.shared_files import ship
-from spokeline.llm.tables import checkpointed, text_of, with_minimum
+from spokeline.llm.tables import checkpointed, release, text_of, with_minimum
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -289,7 +289,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
     nearest = checkpointed(_confirmed(sets, _star_tasks(main, firsts), percent))
     apart = _apart(stars.join(main, ["a", "b"], "left_anti"), _roots(nearest))
     linked = nearest.unionByName(checkpointed(_confirmed(sets, _star_tasks(apart, firsts), percent)))
-    parts = _parts(linked)
+    release(docs.sparkSession)
+    parts = checkpointed(_parts(linked))
+    release(docs.sparkSession)
     likely_ = checkpointed(_linked_in(_open_values(members, parts), firsts, percent, limit))
     more = linked.limit(0)
     if not likely_.isEmpty():
@@ -298,6 +300,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent
         both = sets.unionByName(_sets(docs, rest, firsts, shingle_words)) if not rest.isEmpty() else sets
         more = checkpointed(_confirmed(both, tasks, percent))
     found = linked.unionByName(more)
+    release(docs.sparkSession)
     # Rows of one doc_id have one component, its classes' smallest.
     of_first = classed.select("doc_id", "first").distinct()
     joined = components(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -56,6 +57,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files and checkpoints that nothing refers to any more.
+
+    It does so when the driver's garbage is collected, which a loop of small jobs outruns.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def with_minimum(df: DataFrame, keys: list[str], value: str, spread: str, name: str = "least") -> DataFrame:
     """Adds the least ``value`` and the number of rows of each group of equal (non-null) keys.
 
