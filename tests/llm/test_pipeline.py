@@ -75,7 +75,7 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark, docs_of):
 def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 def test_null_ids_and_repeated_rows(spark, docs_of):
