@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from spokeline import files, schemas
 
@@ -29,7 +30,12 @@ def read_or_empty(spark: SparkSession, path: str, table: schemas.Table) -> DataF
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], table.struct)
+        return empty(spark, table)
+
+
+def empty(spark: SparkSession, table: schemas.Table) -> DataFrame:
+    """A table without rows, which needs no scan and no Python."""
+    return spark.range(0).select(*[F.lit(None).cast(c.dtype).alias(c.name) for c in table.columns])
 
 
 def _page_columns(report: DataFrame) -> DataFrame:

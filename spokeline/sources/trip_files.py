@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spokeline import files, schemas
-from spokeline.sources import trip_archive
+from spokeline.sources import tables, trip_archive
 
 # Fixed value: file names begin with the month they were published for.
 FILE_MONTH_PATTERN = r"^(\d{6})"
@@ -122,7 +122,7 @@ def _landed(spark: SparkSession, folder: str, kind: str, below: list[str]) -> Da
     paths = [f"{folder}/kind={kind}/{b}".rstrip("/") for b in below]
     found = [p for p in paths if files.exists(spark, p)]
     if not found:
-        return spark.createDataFrame([], schemas.LANDING.struct)
+        return tables.empty(spark, schemas.LANDING)
     return spark.read.schema(schemas.LANDING.struct).option("basePath", folder).parquet(*found)
 
 

@@ -414,7 +414,7 @@ def _from_sets(table: schemas.Table) -> Query:
 
     def build(trips: DataFrame) -> DataFrame:
         visits = rollups.station_visits(trips)
-        none = trips.sparkSession.createDataFrame([], schemas.STATIONS.struct)
+        none = tables.empty(trips.sparkSession, schemas.STATIONS)
         early = rollups.new_stations(visits.where(F.col("started_date") < F.lit(NARROW[0])), none)
         numbers = early.unionByName(rollups.new_stations(visits, early))
         return reports.from_sets(rollups.usage_sums(trips), rollups.station_sets(visits, numbers), table)
