@@ -3,6 +3,11 @@
 Members are decompressed as a stream and parsed in Arrow batches; nothing is
 unpacked to disk and no member is held in memory. A deflate stream has no
 entry points, so one member cannot be split further.
+
+Of the fields, those of the schema that is read with are parsed; of the trips, those that
+can't have started on the days asked for stay in the task that parses them. The days are
+options, not filters that Spark pushes down: Spark 4.1 keeps pushed filters with the loaded frame, so
+that a second query on the same frame misses the rows that the first one left out.
 """
 
 from __future__ import annotations
@@ -73,8 +78,12 @@ class Member(InputPartition):
 class TripArchiveSource(DataSource):
     """Options: ``path`` of the folder, ``months`` as yyyyMM separated by commas or ``*``,
     ``bad_rows`` (FAILFAST, or PERMISSIVE: what cannot be read is NULL, and the column
-    ``corrupt_record`` has the record) and ``unnamed`` (whether archives without a month in
-    their names are allowed).
+    ``corrupt_record`` has the record), ``unnamed`` (whether archives without a month in
+    their names are allowed) and ``started`` (the first day and the one after the last, as
+    yyyy-MM-dd with a comma between). A trip whose start doesn't begin with a day is always there.
+
+    Read with a schema of some columns, only those are parsed; with FAILFAST, a bad number
+    elsewhere is not noticed then.
     """
 
     @classmethod
@@ -92,16 +101,25 @@ class TripArchiveSource(DataSource):
         return TripArchiveReader(
             self.options["path"],
             self.options.get("months", "*"),
+            schema.fieldNames(),
+            started=self.options.get("started"),
             permissive=self._permissive(),
             unnamed=self.options.get("unnamed", "refused") == "allowed",
         )
 
 
 class TripArchiveReader(DataSourceReader):
-    def __init__(self, folder: str, months: str, *, permissive: bool, unnamed: bool) -> None:
+    def __init__(
+        self, folder: str, months: str, wanted: list[str], *, started: str | None, permissive: bool, unnamed: bool
+    ) -> None:
         self.folder, self.permissive, self.unnamed = folder, permissive, unnamed
         self.globs = [f"{m}*.zip" if m != "*" else "*.zip" for m in months.split(",")]
         self.columns = [(f.name, f.dataType.simpleString()) for f in schemas.CSV_FIELDS]
+        self.wanted, self.started = wanted, started.split(",") if started else None
+        of_records = {schemas.CORRUPT.name} if permissive else set()
+        unknown = set(wanted) - {n for n, _ in self.columns} - {f.name for f in _ORIGIN} - of_records
+        if unknown:
+            raise ValueError(f"archives have no columns {sorted(unknown)}")
 
     def partitions(self) -> list[Member]:
         """Members of all archives. Reads each archive's directory only, which sits at its end.
@@ -131,6 +149,13 @@ class TripArchiveReader(DataSourceReader):
             raise ValueError(f"no month in the names of {unnamed[:5]}; give file_month")
         return members
 
+    def _parsed(self) -> list[str]:
+        """Fields to parse: all of them where records are to be kept, else those asked for."""
+        names = [n for n, _ in self.columns]
+        asked = {*self.wanted, *(["started_at"] if self.started else [])}
+        # A field at least, for the number of rows.
+        return names if self.permissive else [n for n in names if n in asked] or names[:1]
+
     def read(self, partition: Member) -> Iterator:
         import pyarrow as pa
         from pyarrow import csv
@@ -162,6 +187,7 @@ class TripArchiveReader(DataSourceReader):
                         newlines_in_values=True, invalid_row_handler=keep if self.permissive else None
                     ),
                     convert_options=csv.ConvertOptions(
+                        include_columns=self._parsed(),
                         column_types={
                             n: pa.string() if self.permissive else types[t] for n, t in self.columns
                         },
@@ -177,22 +203,30 @@ class TripArchiveReader(DataSourceReader):
             for batch in batches:
                 if self.permissive:
                     batch, records = self._readable(batch)
-                    yield self._with_origin(batch.append_column(schemas.CORRUPT.name, records), partition)
+                    yield self._asked(batch.append_column(schemas.CORRUPT.name, records), partition)
                     if misfits:
-                        yield self._with_origin(self._misfits(misfits), partition)
+                        yield self._asked(self._misfits(misfits), partition)
                         misfits.clear()
                 else:
-                    yield self._with_origin(batch, partition)
+                    yield self._asked(batch, partition)
             if misfits:
-                yield self._with_origin(self._misfits(misfits), partition)
+                yield self._asked(self._misfits(misfits), partition)
 
-    @staticmethod
-    def _with_origin(batch, partition: Member):
+    def _asked(self, batch, partition: Member):
+        """The trips that may have started on the days asked for, with the columns asked for."""
         import pyarrow as pa
-
+        import pyarrow.compute as pc
+
+        if self.started:
+            first, stop = self.started
+            text = batch.column("started_at")
+            dated = pc.match_substring_regex(text, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}")
+            day = pc.utf8_slice_codeunits(text, 0, 10)
+            inside = pc.and_(pc.greater_equal(day, first), pc.less(day, stop))
+            batch = batch.filter(pc.or_(pc.invert(dated), inside))
         for name, value in (("archive", posixpath.basename(partition.archive)), ("member", partition.name)):
             batch = batch.append_column(name, pa.repeat(pa.scalar(value, pa.string()), batch.num_rows))
-        return batch
+        return batch.select(self.wanted)
 
     def _misfits(self, records: list[str]):
         """Rows of which nothing but the record is known."""

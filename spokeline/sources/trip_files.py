@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import re
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,21 +76,41 @@ def read_archives(
     *,
     bad_rows: str = "FAILFAST",
     file_month: str | None = None,
+    columns: Sequence[str] | None = None,
+    started: tuple[date, date] | None = None,
 ) -> DataFrame:
     """The CSV members of the zip archives below a folder, of all or of the given months.
 
     ``bad_rows`` and ``file_month`` are as for ``read_csv``. Line breaks inside quotes
     are read as they are: a member is one task anyway.
+
+    ``columns`` names the trip columns to read, in any order; a bad number in another column
+    is then not noticed, unless bad records are kept. ``started`` keeps the trips that start from the
+    first day up to, not including, the second; trips without a start that can be read are left
+    out, and so are records of which nothing could be read. Both reach the parser's tasks, so that
+    other columns and days never leave them.
     """
     trip_archive.register(spark)
-    lines = (
+    chosen = [c for c in schemas.TRIPS.names if columns is None or c in columns]
+    unknown = sorted(set(columns or ()) - set(chosen))
+    if unknown:
+        raise ValueError(f"trips have no columns {unknown}")
+    texts = [f for f in schemas.CSV_FIELDS if f.name in chosen or (started and f.name == "started_at")]
+    corrupt = [_CORRUPT] if bad_rows.upper() == "PERMISSIVE" else []
+    reader = (
         spark.read.format(trip_archive.FORMAT)
+        .schema(T.StructType([*texts, *corrupt, T.StructField("archive", T.StringType())]))
         .option("months", ",".join(months) if months is not None else "*")
         .option("bad_rows", bad_rows)
         .option("unnamed", "allowed" if file_month is not None else "refused")
-        .load(folder)
     )
-    return _typed(lines, F.col("archive"), file_month)
+    if started is None:
+        return _typed(reader.load(folder), F.col("archive"), file_month)
+    first, stop = (day.isoformat() for day in started)
+    trips = _typed(reader.option("started", f"{first},{stop}").load(folder), F.col("archive"), file_month)
+    at = F.col("started_at")
+    inside = trips.where((at >= F.lit(first).cast(schemas.NTZ)) & (at < F.lit(stop).cast(schemas.NTZ)))
+    return inside if "started_at" in chosen else inside.drop("started_at")
 
 
 def read_landed(spark: SparkSession, folder: str, name_glob: str = "*.parquet") -> DataFrame:
@@ -135,6 +156,7 @@ def _typed(lines: DataFrame, file_name: Column, file_month: str | None) -> DataF
             if c.dtype == schemas.NTZ
             else F.col(c.name)
             for c in schemas.TRIPS.columns
+            if c.name in lines.columns
         ],
         *[F.col(c) for c in (schemas.CORRUPT.name,) if c in lines.columns],
         F.coalesce(named, F.lit(file_month)).alias("file_month"),

@@ -587,6 +587,11 @@ WHERE EXISTS (SELECT 1 FROM events WHERE strftime(ts + to_months(CAST(event_id %
     for side in ("start", "end"):
         sql[f"rolled_yoy_top_stations_{side}"] = sql[f"yoy_top_stations_{side}"]
     # Other ways to the same rows.
+    sql["archive_window"] = _with(
+        select="""SELECT source_month AS file_month, rideable_type, count(*) AS trips,
+  min(started_at) AS first_start, max(started_at) AS last_start
+FROM raw WHERE started_date >= DATE '2025-01-01' AND started_date < DATE '2025-04-01' GROUP BY ALL"""
+    )
     sql["landing_roundtrip"] = sql["archive_scan"] = sql["csv_scan"]
     for report in ("hourly", "weekly", "monthly"):
         sql[f"rolled_{report}_report"] = sql[f"{report}_report"]

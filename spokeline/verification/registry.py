@@ -163,6 +163,18 @@ def archive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_files.read_archives(spark, folder).select(*schemas.TRIPS.names)
 
 
+def archive_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of the narrow run window by bike kind, from all archives, reading two columns of its days only."""
+    folder = _scratch(spark, "zip")
+    source.write_archives(source.trips(spark, sf_dir), folder)
+    rows = trip_files.read_archives(
+        spark, folder, columns=["rideable_type", "started_at"], started=run_window(*NARROW)
+    )
+    return rows.groupBy("file_month", "rideable_type").agg(
+        F.count(F.lit(1)).alias("trips"), F.min("started_at").alias("first_start"), F.max("started_at").alias("last_start")
+    )
+
+
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to landed Parquet and back."""
     landing = _scratch(spark, "landing")
@@ -449,7 +461,7 @@ WRITING = {
     "refreshed_in_full", "refreshed_weekly_report", "refreshed_hourly_report", "refreshed_monthly_report",
     "refreshed_after_correction", "missing_weekly_kpi", "rolled_yoy_top_stations_start", "rolled_yoy_top_stations_end",
     "stored_hourly_kpis", "stored_weekly_kpi", "stored_monthly_kpis", "stored_yoy_change", "csv_scan", "archive_scan",
-    "landing_roundtrip",
+    "archive_window", "landing_roundtrip",
 }
 
 
@@ -466,6 +478,7 @@ def queries() -> dict[str, Query]:
         # files and tables
         "csv_scan": csv_scan,
         "archive_scan": archive_scan,
+        "archive_window": archive_window,
         "landing_roundtrip": landing_roundtrip,
         "quarantined_csv": _quarantined("csv"),
         "quarantined_archives": _quarantined("zip"),

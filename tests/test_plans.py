@@ -115,7 +115,7 @@ def test_top_lists_are_cut_before_the_shuffle(spark, stored):
 
 
 # The archive source is Python by design, and so are footers.
-READ_BY_PYTHON = {"archive_scan", "schema_drift"}
+READ_BY_PYTHON = {"archive_scan", "archive_window", "schema_drift"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - READ_BY_PYTHON))

@@ -1,3 +1,4 @@
+import re
 import zipfile
 from datetime import date, datetime
 
@@ -325,3 +326,39 @@ def test_other_archive_paths():
     assert trip_archive.filesystem_uri("zip").startswith("file:///")
     with pytest.raises(ValueError, match="ftp"):
         trip_archive.filesystem_uri("ftp://host/zip")
+
+
+def test_columns_and_days_reach_the_archive_parser(spark, archives, tmp_path):
+    with zipfile.ZipFile(tmp_path / "202403.zip", "w") as z:
+        starts = [
+            "2024-03-01", "2024-03-01 23:59:59.999", "2024-03-02 00:00:00", "2024-2-29 10:00:00",
+            " 2024-03-01 10:00:00", "2024-03-01 lunch", "",
+        ]
+        z.writestr("202403.csv", text(*[line(f"m{i}", s, lat="0.5") for i, s in enumerate(starts)]))
+    day = (date(2024, 3, 1), date(2024, 3, 2))
+    df = trip_files.read_archives(spark, str(tmp_path), columns=["ride_id", "end_lat"], started=day)
+    assert df.columns == ["ride_id", "end_lat", "file_month"]
+    whole = trip_files.read_archives(spark, str(tmp_path))
+    inside = whole.where("started_at >= date'2024-03-01' AND started_at < date'2024-03-02'")
+    found = sorted(map(tuple, df.collect()))
+    assert found == sorted(map(tuple, inside.select(*df.columns).collect()))
+    assert [r[0] for r in found] == ["m0", "m1", "m4"]
+    # A filter on the whole frame leaves it whole.
+    assert whole.count() == 5011
+    text_ = df._jdf.queryExecution().toString()
+    assert re.search(r"trip_archive\[ride_id#\d+, started_at#\d+, end_lat#\d+, archive#\d+\]", text_)
+    leap = trip_files.read_archives(spark, str(tmp_path), started=(date(2024, 2, 29), date(2024, 3, 1)))
+    assert [r.ride_id for r in leap.collect()] == ["m3"]
+    assert trip_files.read_archives(spark, str(tmp_path), columns=[]).count() == whole.count()
+    with pytest.raises(ValueError, match="no columns"):
+        trip_files.read_archives(spark, str(tmp_path), columns=["ride"])
+
+
+def test_kept_records_need_all_fields(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "202401.zip", "w") as z:
+        z.writestr("202401.csv", text(line("a"), line("b", lat="north"), "c,short"))
+    read = trip_files.read_archives(spark, str(tmp_path), bad_rows="PERMISSIVE", columns=["ride_id"])
+    rows = {r.ride_id: r.corrupt_record for r in read.collect()}
+    assert rows == {"a": None, "b": line("b", lat="north"), None: "c,short"}
+    # A bad number in a column that isn't read is not noticed.
+    assert trip_files.read_archives(spark, str(tmp_path), columns=["end_lat"], bad_rows="PERMISSIVE").count() == 3
