@@ -22,16 +22,19 @@ from spokeline.llm.shared_files import ship
 from spokeline.llm.tables import parts_for, text_bytes, text_of
 
 BATCH_BYTES = 8 << 20
-# Stands for a null doc_id: larger than any other, and never before another.
+# What a null doc_id counts as where documents are compared: no other is larger, and nothing is before another for it.
 NO_ID = 2**63 - 1
 
 
 def dealt(docs: DataFrame) -> tuple[DataFrame, int]:
-    """doc_id, text and batch, and the number of batches."""
+    """doc_id, whether a row has one (``named``), text and batch, and the number of batches."""
     ship(docs.sparkSession)
     n = parts_for(docs.sparkSession, text_bytes(docs), BATCH_BYTES)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("text"))
-    spread = F.xxhash64("doc_id", F.octet_length("text"))
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(
+        F.coalesce(doc_id, F.lit(NO_ID)).alias("doc_id"), doc_id.isNotNull().alias("named"), text_of().alias("text")
+    )
+    spread = F.xxhash64("doc_id", "text")
     return rows.withColumn("batch", F.pmod(spread, F.lit(n)).cast("int")).repartition(n, "batch"), n
 
 

@@ -66,8 +66,9 @@ def _slide(values: np.ndarray, width: int, of) -> np.ndarray:
 
 
 def _chunks(docs: pa.Table):
-    """Documents of a batch in order: their ids, and groups of them as (first, bytes, where each begins)."""
-    rows = sorted(zip(docs.column("doc_id").to_pylist(), (t.encode() for t in docs.column("text").to_pylist())))
+    """Documents of a batch in order: ids, (id, text, whether it has the id), and groups as (first, texts)."""
+    texts = (t.encode() for t in docs.column("text").to_pylist())
+    rows = sorted(zip(docs.column("doc_id").to_pylist(), texts, docs.column("named").to_pylist()))
     ids, texts = np.array([r[0] for r in rows], dtype=np.int64), [r[1] for r in rows]
     first = 0
     groups = []
@@ -78,7 +79,7 @@ def _chunks(docs: pa.Table):
             last += 1
         groups.append((first, texts[first:last]))
         first = last
-    return ids, texts, groups
+    return ids, rows, groups
 
 
 def _names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -351,7 +352,7 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _remove(buckets: int):
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        ids, texts, groups = _chunks(docs)
+        ids, documents, groups = _chunks(docs)
         rows = answers.to_pylist()
         document = np.empty(0, np.int64)
         if rows:
@@ -360,7 +361,7 @@ def _remove(buckets: int):
             order = np.argsort(document, kind="stable")
             document, begin, end = document[order], begin[order], end[order]
         out = []
-        for k, text in enumerate(texts):
+        for k, (doc_id, text, named) in enumerate(documents):
             low, high = np.searchsorted(document, [k, k + 1])
             kept, removed, spans = text, 0, 0
             if low < high:
@@ -370,8 +371,7 @@ def _remove(buckets: int):
                 removed = int(gone.sum())
                 spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-            name = int(ids[k]) if ids[k] != NO_ID else None
-            out.append((name, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
+            out.append((doc_id if named else None, len(text), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         names = [c.split()[0] for c in RESULT.split(", ")]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
@@ -388,7 +388,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     kept_sha256 and kept (remaining bytes, which may cut characters).
 
     * Null texts count as empty; texts shorter than a window keep everything.
-    * A null doc_id counts as larger than any other. Rows with the same doc_id
+    * A null doc_id counts as 2^63-1, the largest there is. Rows with the same doc_id
       are not compared with each other.
     * An empty table gives no rows; further columns are ignored.
     """

@@ -8,7 +8,7 @@ since WINDOW = 2 * BLOCK - 1. So:
    run of BLOCK words of every document is a probe. Both are digests, matched in
    buckets; a run hits if several documents hold it, one of them as a block.
 2. A hit is extended to the windows around it. Windows are matched by 96-bit
-   digests, and a bucket answers with the smallest doc_id that holds one.
+   digests of their words' 64-bit digests, and a bucket answers with the smallest doc_id that holds one.
 3. A window whose answer is smaller than its own document is a repeat; adjacent
    ones join to maximal repeats, whose words are removed.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spokeline.llm import text_hashes
-from spokeline.llm.batches import ASKED, NO_ID, SHARED, among, ask, codes, cut, dealt, shared, told
+from spokeline.llm.batches import ASKED, SHARED, among, ask, codes, cut, dealt, shared, told
 
 BLOCK = 7
 WINDOW = 2 * BLOCK - 1
@@ -145,7 +145,7 @@ def _remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
     order = np.argsort(key["a"], kind="stable")
     key, least = key[order], least[order]
     rows = []
-    for doc_id, found, words in _digests(docs):
+    for named, (doc_id, found, words) in zip(docs.column("named").to_pylist(), _digests(docs)):
         kept, removed = found, 0
         if len(words) >= WINDOW and len(key):
             mine = _window_keys(words)
@@ -156,7 +156,7 @@ def _remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
                 removed = int(gone.sum())
                 kept = [found[i] for i in np.flatnonzero(~gone).tolist()]
         text = b" ".join(kept)
-        rows.append((doc_id if doc_id != NO_ID else None, len(found), removed, hashlib.sha256(text).hexdigest(), text.decode()))
+        rows.append((doc_id if named else None, len(found), removed, hashlib.sha256(text).hexdigest(), text.decode()))
     columns = list(zip(*rows))
     types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"]
@@ -171,7 +171,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     doc_id, n_words, n_removed, kept_sha256 and kept_text (kept words joined by one space).
 
     * Null texts and those with fewer words than a window keep everything.
-    * A null doc_id counts as larger than any other. Rows with the same doc_id
+    * A null doc_id counts as 2^63-1, the largest there is. Rows with the same doc_id
       are not compared with each other.
     * An empty table gives no rows; further columns are ignored.
     """

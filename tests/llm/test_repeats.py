@@ -66,6 +66,18 @@ def test_word_repeats_of_nothing(docs_of):
     assert word_repeats.without_repeats(docs_of([])).collect() == []
 
 
+@pytest.mark.parametrize("operator", [word_repeats, byte_repeats])
+def test_the_largest_doc_id_is_not_null(docs_of, operator):
+    passage = " ".join(f"shared{i}" for i in range(20))
+    rows = [(2**63 - 1, passage), (None, passage), (2**63 - 1, "alone"), (None, None), (-(2**63), "first"), (None, "")]
+    found = as_dicts(operator.without_repeats(docs_of(rows)))
+    # Those two count as one document, so neither loses the passage to the other.
+    assert sorted(((r["doc_id"], r["n_removed"]) for r in found), key=str) == sorted(((i, 0) for i, _ in rows), key=str)
+    found = as_dicts(operator.without_repeats(docs_of([*rows, (2**63 - 2, passage)])))
+    removed = {(r["doc_id"], r["n_removed"] > 0) for r in found}
+    assert removed == {(2**63 - 1, True), (None, True), (2**63 - 1, False), (None, False), (2**63 - 2, False), (-(2**63), False)}
+
+
 def brute_bytes(rows):
     data = [(i, (t or "").encode()) for i, t in rows]
     first, out = firsts(data, 50, lambda b: b), []
