@@ -17,6 +17,7 @@ import numpy as np
 
 MAGIC = b"EFTOKENS"
 EVERY = 64
+STRETCH = 64 * EVERY
 _HEAD = struct.Struct("<QQBII")  # count, universe, low bits, bytes of low part, bytes of high part
 _FILE = struct.Struct("<8sBQQQq")  # magic, bytes of an id, documents, those without doc_id, ids, first doc_id
 
@@ -59,17 +60,22 @@ class Ascending:
 
     def select(self, i: int) -> int:
         """The i-th number, reading the bits between two samples only."""
-        begin = int(self.samples[i // EVERY])
-        nxt = i // EVERY + 1
+        return int(self.between(i, i + 1)[0])
+
+    def between(self, first: int, last: int) -> np.ndarray:
+        """Numbers from the first to before the last, reading the bits between their samples only."""
+        if first >= last:
+            return np.empty(0, np.uint64)
+        begin = int(self.samples[first // EVERY])
+        nxt = (last - 1) // EVERY + 1
         end = int(self.samples[nxt]) + 1 if nxt < len(self.samples) else 8 * len(self.high)
         bits = np.unpackbits(self.high[begin // 8 : (end + 7) // 8], bitorder="little")[begin % 8 :]
-        place = begin + int(np.flatnonzero(bits)[i % EVERY])
-        return ((place - i) << self.low_bits) + int(self._low(i, i + 1)[0])
+        places = begin + np.flatnonzero(bits)[first % EVERY : first % EVERY + last - first]
+        high = (places - np.arange(first, last)).astype(np.uint64)
+        return (high << np.uint64(self.low_bits)) + self._low(first, last)
 
     def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
-        high = (places - np.arange(self.count)).astype(np.uint64)
-        return (high << np.uint64(self.low_bits)) + self._low(0, self.count)
+        return self.between(0, self.count)
 
     def to_bytes(self) -> bytes:
         head = _HEAD.pack(self.count, self.universe, self.low_bits, len(self.low), len(self.high))
@@ -119,11 +125,18 @@ class TokenFile:
         return self.ids[self.ends.select(i - 1) if i else 0 : self.ends.select(i)]
 
     def rows(self):
-        """doc_id, first id's place, number of ids and their crc32, of all documents in order."""
-        ends = self.ends.all().astype(np.int64).tolist()
-        with np.errstate(over="ignore"):
-            names = (self.names.all() + np.array([self.first], np.int64).view(np.uint64)).view(np.int64)
+        """doc_id, first id's place, number of ids and their crc32, of all documents in order.
+
+        Boundaries are selected for a stretch of documents at a time: there is no table of them all.
+        """
         begin = 0
-        for name, end in zip([None] * self.unnamed + names.tolist(), ends, strict=True):
-            yield name, begin, end - begin, zlib.crc32(self.ids[begin:end].astype("<u4").tobytes())
-            begin = end
+        for at in range(0, self.n_docs, STRETCH):
+            to = min(self.n_docs, at + STRETCH)
+            unnamed = max(0, min(to, self.unnamed) - at)
+            with np.errstate(over="ignore"):
+                names = self.names.between(at + unnamed - self.unnamed, to - self.unnamed) if to > self.unnamed else []
+                names = (names + np.array([self.first], np.int64).view(np.uint64)).view(np.int64) if len(names) else names
+            ends = self.ends.between(at, to).astype(np.int64).tolist()
+            for name, end in zip([None] * unnamed + list(map(int, names)), ends, strict=True):
+                yield name, begin, end - begin, zlib.crc32(self.ids[begin:end].astype("<u4").tobytes())
+                begin = end

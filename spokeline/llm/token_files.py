@@ -9,10 +9,12 @@ its place in the whole.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,38 +27,95 @@ from spokeline.llm.token_counts import tokenizer
 FILE_IDS = 1 << 22
 PART_BYTES = 64 << 20
 CACHED_WORDS, CACHED_LENGTH, TOGETHER = 400_000, 64, 256
+TEXT_BYTES = 8 << 20
 
+# Patterns of words as tokenizer files state them, none of which matches white space.
+SPACELESS = {"'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+# Steps before the pattern that treat a word alike with and without its neighbours.
+WORDWISE = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
 
-class WordEncoder:
-    """Ids of texts under a tokenizer that drops white space, word by word.
 
-    Where no token holds white space and nothing before it acts on what follows,
-    the ids of a text are those of its words, split at ASCII white space. Words
-    are encoded by the library, many in one call, and those seen lately are
-    remembered: a full generation of them becomes the older one, which is dropped
-    when the next is full.
+def drops_spaces(declared: dict) -> bool:
+    """Whether a tokenizer file says that a text's ids are those of its words, split at ASCII white space.
+
+    Only what is known to be so counts; any other file's texts are encoded whole.
     """
 
+    def steps(step: dict | None, inner: str) -> list[dict]:
+        if step is None:
+            return []
+        return [s for part in step[inner] for s in steps(part, inner)] if step["type"] == "Sequence" else [step]
+
+    normal, cuts = steps(declared["normalizer"], "normalizers"), steps(declared["pre_tokenizer"], "pretokenizers")
+    one_space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    added = declared["added_tokens"]
+    return (
+        all(s["type"] in WORDWISE or s == one_space for s in normal)
+        and len(cuts) > 0
+        and cuts[0]["type"] == "Split"
+        and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+        and cuts[0]["pattern"].get("Regex") in SPACELESS
+        and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in cuts[1:])
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or len(t["content"].split()) != 1 for t in added)
+        and declared["model"]["type"] == "BPE"
+        and not declared["model"].get("dropout")
+    )
+
+
+class TextEncoder:
+    """Ids of texts, each encoded whole by the library."""
+
     def __init__(self, path: str):
         self.tok = tokenizer(path)
         self.id_bytes = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        found, cuts = self.coded(pa.array(texts, pa.string()))
+        return [bytes(found[low:high]) for low, high in zip(cuts, cuts[1:])]
+
+    def coded(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        """Ids of all texts, and where each text's begin and end among their bytes."""
+        found = self.tok.encode_batch(texts.to_pylist(), add_special_tokens=False)
+        each = [np.array(e.ids, dtype=f"<u{self.id_bytes}").tobytes() for e in found]
+        return memoryview(b"".join(each)), np.cumsum([0, *map(len, each)]).tolist()
+
+
+class WordEncoder(TextEncoder):
+    """The same for a tokenizer that ``drops_spaces``, word by word.
+
+    A batch's distinct words are numbered by Arrow. Those seen lately are
+    remembered, others are encoded by the library, many in one call: a full generation
+    of them becomes the older one, which is dropped when the next is full.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
         self.seen: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
+    def coded(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        words = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        numbered = words.flatten().dictionary_encode()
+        each = pa.array(self._known(numbered.dictionary.cast(pa.large_binary()).to_pylist()), pa.large_binary())
+        ids = each.take(numbered.indices)
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset)
+        begins = words.offsets.to_numpy(zero_copy_only=False)
+        return memoryview(ids.buffers()[2] or b""), ends[begins - begins[0]].tolist()
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
         if len(self.seen) > CACHED_WORDS:
             self.seen, self.older = {}, self.seen
         seen, older, new = self.seen, self.older, []
-        for word in set().union(*split).difference(seen):
-            if word in older:
-                seen[word] = older[word]
-            else:
-                new.append(word)
+        for word in words:
+            if word not in seen:
+                if word in older:
+                    seen[word] = older[word]
+                else:
+                    new.append(word)
         for at in range(0, len(new), TOGETHER):
             some = new[at : at + TOGETHER]
             seen.update(zip(some, self._encoded(some), strict=True))
-        out = [b"".join(map(seen.__getitem__, words)) for words in split]
+        out = [seen[word] for word in words]
         for word in new:  # long ones are rarely seen again
             if len(word) > CACHED_LENGTH:
                 del seen[word]
@@ -72,12 +131,30 @@ class WordEncoder:
         return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
-_encoders: dict[str, WordEncoder] = {}
+def encoder_of(path: str) -> TextEncoder:
+    declared = json.loads(tokenizer(path).to_str())
+    return WordEncoder(path) if drops_spaces(declared) else TextEncoder(path)
+
+
+_encoders: dict[str, TextEncoder] = {}
+
+
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``TEXT_BYTES`` of text, of a document at least."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + TEXT_BYTES, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def _writer(path: str, folder: str, end_id: int, file_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.setdefault(path, WordEncoder(path))
+        if path not in _encoders:
+            _encoders[path] = encoder_of(path)
+        encoder = _encoders[path]
         end = end_id.to_bytes(encoder.id_bytes, "little")
         part, nth = TaskContext.get().partitionId(), 0
         names, lengths, ids = [], [], bytearray()
@@ -96,12 +173,13 @@ def _writer(path: str, folder: str, end_id: int, file_ids: int):
             return row
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for name, found in zip(some.column("doc_id").to_pylist(), encoder.ids(some.column("text").to_pylist())):
+            for some in _pieces(batch):
+                found, cuts = encoder.coded(some.column("text"))
+                for name, low, high in zip(some.column("doc_id").to_pylist(), cuts, cuts[1:]):
                     names.append(name)
-                    ids += found + end
-                    lengths.append(len(found) // encoder.id_bytes + 1)
+                    ids += found[low:high]
+                    ids += end
+                    lengths.append((high - low) // encoder.id_bytes + 1)
                     if len(ids) >= file_ids * encoder.id_bytes:
                         yield flush()
         if names:
@@ -114,7 +192,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int = 1, file_
     """Encode all texts, each followed by ``end_id``, into files below ``folder``.
 
     Returns the table of files, which is written there too. ``path`` names a
-    tokenizer of the ``tokenizers`` library that drops white space.
+    tokenizer of the ``tokenizers`` library; where it is known to drop white space, words
+    are encoded, and texts as a whole otherwise.
 
     * Null and empty texts have the end id alone. Null doc_ids come first, rows
       with equal doc_id in any order. An empty table gives no file.

@@ -1,10 +1,12 @@
 """Token counts, token files and pieces against the libraries."""
 
+import json
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from spokeline.llm import elias_fano, pieces, token_counts, token_files
@@ -97,6 +99,62 @@ def test_words_stand_alone():
     assert encoder.ids(texts) == whole
 
 
+def test_only_known_tokenizers_are_cut_at_spaces():
+    assert isinstance(token_files.encoder_of(WORDS), token_files.WordEncoder)
+    assert type(token_files.encoder_of(BYTES)) is token_files.TextEncoder
+    known = json.loads(token_counts.tokenizer(WORDS).to_str())
+    assert token_files.drops_spaces(known)
+    cuts = known["pre_tokenizer"]["pretokenizers"]
+    for key, value in [
+        ("normalizer", {"type": "Prepend", "prepend": "_"}),
+        ("pre_tokenizer", None),
+        ("pre_tokenizer", cuts[1]),
+        ("pre_tokenizer", {**cuts[0], "behavior": "Isolated"}),
+        ("pre_tokenizer", {**cuts[0], "pattern": {"Regex": "[a-z ]+"}}),
+        ("added_tokens", [{**known["added_tokens"][0], "lstrip": True}]),
+        ("added_tokens", [{**known["added_tokens"][0], "content": "two words"}]),
+        ("model", {**known["model"], "dropout": 0.1}),
+    ]:
+        assert not token_files.drops_spaces({**known, key: value})
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@pytest.mark.parametrize("size", [1, 100, 1 << 20])
+def test_encoders_agree_with_the_library(monkeypatch, path, size):
+    monkeypatch.setattr(token_files, "TEXT_BYTES", size)
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 20)
+    rng, encoder = random.Random(size), token_files.encoder_of(path)
+    texts = [t or "" for t in EDGE] + [prose(rng, rng.randrange(40)) for _ in range(80)] + ["w" * 300, " \t"]
+    whole = [np.array(encoder.tok.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    found = []
+    rows = pa.RecordBatch.from_arrays([pa.array(["skipped", *texts])], ["text"]).slice(1)
+    for some in token_files._pieces(rows):
+        ids, cuts = encoder.coded(some.column("text"))
+        found += [bytes(ids[low:high]) for low, high in zip(cuts, cuts[1:])]
+    assert found == whole
+
+
+def test_token_files_of_a_tokenizer_that_keeps_spaces(spark, docs_of, tmp_path):
+    texts = ["a  b", " ", "x\n\n y ", None]
+    token_files.write_tokens(docs_of([*enumerate(texts)]), BYTES, str(tmp_path / "t"))
+    tok = token_counts.tokenizer(BYTES)
+    found = {r.doc_id: r.n_tokens for r in token_files.read_tokens(spark, str(tmp_path / "t")).collect()}
+    assert found == {i: len(tok.encode(t or "", add_special_tokens=False)) + 1 for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("unnamed", [0, 3, 130, 200])
+def test_rows_of_a_file_are_read_in_stretches(monkeypatch, unnamed):
+    monkeypatch.setattr(elias_fano, "STRETCH", 64)
+    rng = random.Random(unnamed)
+    names = [None] * unnamed + sorted(rng.randrange(-(2**63), 2**63) for _ in range(200 - unnamed))
+    lengths = [rng.choice([0, 1, 1, 2, 900]) for _ in names]
+    ids = np.array([rng.randrange(2**16) for _ in range(sum(lengths))], "<u2")
+    file = elias_fano.TokenFile(elias_fano.pack(names, lengths, ids.tobytes(), 2))
+    begins = np.cumsum([0, *lengths]).tolist()
+    assert [r[:3] for r in file.rows()] == list(zip(names, begins, lengths))
+    assert [r[3] for r in file.rows()] == [zlib.crc32(ids[a : a + n].astype("<u4").tobytes()) for a, n in zip(begins, lengths)]
+
+
 def unigram():
     """The same vocabulary read as a unigram model, with the library for its results."""
     from spokeline.llm.pieces import _fields
