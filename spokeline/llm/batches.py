@@ -79,7 +79,7 @@ def ask(
     key's distinct forms above 1 is its crowd in this batch.
     """
     known = codes(digests, buckets)
-    order = np.argsort(known, kind="stable")
+    order = np.argsort(known)
     known, owners = known[order], owners[order]
     begins = np.flatnonzero(np.r_[True, known[1:] != known[:-1]]) if len(known) else np.empty(0, np.int64)
     flags = np.zeros(len(begins), dtype=np.uint8)

@@ -12,8 +12,9 @@
    with digests of their windows, and a window that several documents hold is a
    string by itself, for its own digest's bucket.
 3. A bucket takes equal strings of several batches as one, which settles names that
-   stand in one string only. The other strings are shards, one for each batch; the
-   shards' Burrows-Wheeler transforms are merged by interleave refinement, to a depth
+   stand in one string only. The other strings are compared in groups of names, since
+   equal windows have equal names. A group's strings are shards, each of some batches;
+   the shards' Burrows-Wheeler transforms are merged by interleave refinement, to a depth
    of WINDOW symbols. Suffixes left in one block have a common prefix of WINDOW
    bytes; the smallest document in a block is the answer for its windows.
 4. Batches mark the windows whose answer is smaller than their document.
@@ -27,6 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +48,11 @@ SPAN = WINDOW - GRAM + 1
 # A byte that UTF-8 never has.
 END = b"\xff"
 # Texts of a batch are looked at in chunks of about so many bytes.
-CHUNK = 1 << 20
+CHUNK = 1 << 16
+# Strings of a bucket are compared in groups of about so many bytes, made of shards of about so many.
+GROUP, SHARD = 1 << 16, 1 << 14
+# Odd factors of a gram's four words; fixed, so that digests agree between machines.
+_FACTORS = [np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 # Besides batches' kinds of answers: a window that several documents hold.
 ALONE = 2
 
@@ -67,7 +75,7 @@ def _slide(values: np.ndarray, width: int, of) -> np.ndarray:
 
 def _chunks(docs: pa.Table):
     """Documents of a batch in order: ids, (id, text, whether it has the id), and groups as (first, texts)."""
-    texts = (t.encode() for t in docs.column("text").to_pylist())
+    texts = docs.column("text").cast(pa.binary()).to_pylist()
     rows = sorted(zip(docs.column("doc_id").to_pylist(), texts, docs.column("named").to_pylist()))
     ids, texts = np.array([r[0] for r in rows], dtype=np.int64), [r[1] for r in rows]
     first = 0
@@ -91,15 +99,22 @@ def _names(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,)).copy()
     n = len(data) - GRAM + 1
     with np.errstate(over="ignore"):
-        grams = words[:n]
-        for at in range(8, GRAM, 8):
-            grams = mix(grams) * np.uint64(3) + words[at : at + n]
-        grams = mix(grams) | np.uint64(1)
+        words ^= words >> np.uint64(32)  # else last bytes would tell little
+        grams = words[:n] * _FACTORS[0]
+        for at, factor in zip(range(8, GRAM, 8), _FACTORS[1:], strict=True):
+            grams += words[at : at + n] * factor
+        grams = mix(grams)
+        grams |= np.uint64(1)
     names = _slide(grams, SPAN, np.minimum)
     names[owner[: len(names)] != owner[WINDOW - 1 :]] = 0
     return grams, names, owner
 
 
+def _numbered() -> defaultdict[bytes, int]:
+    """Numbers strings from 0, each when it is first looked up."""
+    return defaultdict(count().__next__)
+
+
 def _runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last window of each stretch with one name."""
     change = np.flatnonzero(names[1:] != names[:-1])
@@ -169,8 +184,8 @@ class Strings:
 
     def __init__(self, ids: np.ndarray, groups, answers: pa.Table, buckets: int):
         hits = told(answers.filter(pc.less(answers.column("kind"), ALONE)))
-        numbers: dict[bytes, int] = {}
-        code, number, document, place = [], [], [], []
+        numbers = _numbered()
+        code, number, document, place = [np.empty(0, np.uint64)], [], [], []
         for first, texts in groups:
             _, names, owner = _names(texts)
             data = b"".join(texts)
@@ -181,17 +196,17 @@ class Strings:
                 continue
             low, high, spread = low[hit], high[hit], spread[hit]
             begins = np.r_[0, np.cumsum([len(t) for t in texts])]
-            for c, s, e in zip(spread.tolist(), low.tolist(), (high + WINDOW).tolist()):
-                known = numbers.setdefault(data[s:e], len(numbers))
-                if known == len(code):
-                    code.append(c)
-                number.append(known)
+            stretches = [data[s:e] for s, e in zip(low.tolist(), (high + WINDOW).tolist())]
+            number += map(numbers.__getitem__, stretches)
+            code.append(spread)
             document.append(first + owner[low])
             place.append(low - begins[owner[low]])
         none = [np.empty(0, np.int64)]
         number = np.array(number, dtype=np.int64)
         document, place = np.concatenate(none + document), np.concatenate(none + place)
-        strings, code = list(numbers), np.array(code, dtype=np.uint64)
+        # Numbers are given in order, so a new one is where the greatest so far grows.
+        new = np.diff(np.maximum.accumulate(number), prepend=-1) > 0
+        strings, code = list(numbers), np.concatenate(code)[new]
         crowded = among(code, told(_of_kind(answers, CROWDED)))
         if crowded.any():
             strings, code, of, offset = _split(strings, code, crowded, told(_of_kind(answers, ALONE)), buckets)
@@ -203,12 +218,12 @@ class Strings:
             number = of[1][part]
         order = np.argsort(code, kind="stable")
         self.code = code[order]
-        self.strings = [strings[i] for i in order.tolist()]
+        self.strings = list(map(strings.__getitem__, order.tolist()))
         self.bucket = (self.code >> np.uint64(32)).astype(np.int64)
         renumbered = np.empty(len(order), dtype=np.int64)
         renumbered[order] = np.arange(len(order))
         self.number, self.document, self.place = renumbered[number], document, place
-        self.length = np.array([len(s) for s in self.strings], dtype=np.int64)
+        self.length = np.fromiter(map(len, self.strings), dtype=np.int64, count=len(order))
         self.least = np.full(len(order), NO_ID, dtype=np.int64)
         np.minimum.at(self.least, self.number, ids[self.document])
 
@@ -226,9 +241,9 @@ def _split(strings: list[bytes], code: np.ndarray, crowded: np.ndarray, alone: n
     spread = codes(_ends(grams, at, at), buckets)
     hit = among(spread, alone)
     at, spread, data = at[hit], spread[hit], b"".join(texts)
-    numbers: dict[bytes, int] = {}
-    part = [numbers.setdefault(data[i : i + WINDOW], len(numbers)) for i in at.tolist()]
-    part = np.array(part, dtype=np.int64)
+    numbers = _numbered()
+    windows = [data[i : i + WINDOW] for i in at.tolist()]
+    part = np.fromiter(map(numbers.__getitem__, windows), dtype=np.int64, count=len(at))
     codes_ = np.empty(len(numbers), dtype=np.uint64)
     codes_[part] = spread
     stretch = np.r_[few, many[owner[at]]]
@@ -266,8 +281,8 @@ def _merge(table: pa.Table) -> pa.Table:
     names = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("names").to_pylist()])
     least = [zlib.decompress(x) for x in table.column("least").to_pylist()]
     local = np.concatenate([np.frombuffer(x, "<i8") for x in least])
-    numbers: dict[bytes, int] = {}
-    number = np.array([numbers.setdefault(x, len(numbers)) for strings in sent for x in strings], dtype=np.int64)
+    numbers = _numbered()
+    number = np.fromiter(map(numbers.__getitem__, chain.from_iterable(sent)), dtype=np.int64, count=len(names))
     least = np.full(len(numbers), NO_ID, dtype=np.int64)
     np.minimum.at(least, number, local)
     length = np.fromiter(map(len, numbers), dtype=np.int64, count=len(numbers))
@@ -282,8 +297,10 @@ def _merge(table: pa.Table) -> pa.Table:
         batch = np.repeat(np.arange(len(sent)), [len(x) for x in sent])
         first = np.full(len(numbers), len(sent))
         np.minimum.at(first, number, batch)
-        more = _refined(list(numbers), mixed, first, least)
-        of, low, high, answer = (np.concatenate(x) for x in zip((of, low, high, answer), more))
+        strings, chosen = list(numbers), np.flatnonzero(mixed)
+        groups = _groups(member[chosen], length[chosen], first[chosen])
+        more = [_refined(strings, [chosen[i] for i in parts], least) for parts in groups]
+        of, low, high, answer = (np.concatenate(x) for x in zip((of, low, high, answer), *more))
     order = np.argsort(of, kind="stable")
     of, low, high, answer = of[order], low[order], high[order], answer[order]
     begins = np.searchsorted(of, np.arange(len(numbers) + 1))
@@ -305,12 +322,21 @@ def _merge(table: pa.Table) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=ANSWER_TYPE)
 
 
-def _refined(strings: list[bytes], mixed: np.ndarray, shard: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+def _groups(member: np.ndarray, length: np.ndarray, first: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """Groups of the strings of some names, and shards of each: the strings of consecutive batches."""
+    order = np.lexsort((first, member))
+    total = np.cumsum(length[order])
+    names = np.flatnonzero(np.diff(member[order], prepend=-1))
+    group = np.repeat(total[names] // GROUP, np.diff(names, append=len(order)))
+    for some in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+        some = some[np.argsort(first[some], kind="stable")]
+        yield np.split(some, np.flatnonzero(np.diff(np.cumsum(length[some]) // SHARD)) + 1)
+
+
+def _refined(strings: list[bytes], parts: list[np.ndarray], least: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of windows (string, first, last) with one answer each, by merging the shards' transforms."""
-    chosen = np.flatnonzero(mixed)
-    chosen = chosen[np.argsort(shard[chosen], kind="stable")]
-    parts = np.split(chosen, np.flatnonzero(np.diff(shard[chosen])) + 1)
-    shards = [bwt.transform(*bwt.suffix_order([strings[i] for i in part])) for part in parts]
+    chosen = np.concatenate(parts)
+    shards = [bwt.transform(*bwt.suffix_order([strings[i] for i in part.tolist()])) for part in parts]
     least = least[chosen]
     at, block = bwt.merge(shards, WINDOW)
     string, left, length = bwt.walk(shards)
@@ -361,8 +387,8 @@ def _remove(buckets: int):
             order = np.argsort(document, kind="stable")
             document, begin, end = document[order], begin[order], end[order]
         out = []
-        for k, (doc_id, text, named) in enumerate(documents):
-            low, high = np.searchsorted(document, [k, k + 1])
+        bounds = np.searchsorted(document, np.arange(len(documents) + 1)).tolist()
+        for (doc_id, text, named), low, high in zip(documents, bounds, bounds[1:]):
             kept, removed, spans = text, 0, 0
             if low < high:
                 edges = np.bincount(begin[low:high], minlength=len(text) + 1).astype(np.int64)

@@ -11,9 +11,12 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _MIX[0]
+    x ^= x >> np.uint64(27)
+    x *= _MIX[1]
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def words(text: str | None, lower: bool = False) -> list[bytes]:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spokeline.llm import batches, bwt, byte_repeats, word_repeats
@@ -151,3 +152,44 @@ def test_edges_of_a_hot_passage_do_not_meet_in_one_bucket(docs_of, monkeypatch):
     assert max(size.values()) <= (batches.CROWD + n) * stretch
     found = as_dicts(byte_repeats.without_repeats(docs_of(rows)))
     assert sorted((tuple(r.values())[:5] for r in found), key=str) == brute_bytes(rows)
+
+
+def test_merge_sorts_few_suffixes(monkeypatch):
+    rng = random.Random(8)
+    shards = [[bytes(rng.choice(b"abcd") for _ in range(100)) * 2 for _ in range(20)] for _ in range(5)]
+    transforms = [bwt.transform(*bwt.suffix_order(s)) for s in shards]
+    sizes, argsort = [], np.argsort
+    monkeypatch.setattr(bwt.np, "argsort", lambda a, *args, **more: sizes.append(len(a)) or argsort(a, *args, **more))
+    at, _ = bwt.merge(transforms, 50)
+    # Once to lay the shards, and once for every two of 50 symbols.
+    assert sum(sizes) < 28 * len(at)
+
+
+def test_shards_grow_with_strings_not_with_batches(monkeypatch):
+    rng = random.Random(9)
+    gram = bytes(rng.choice(b"abcdefgh") for _ in range(32))
+    strings = [b"%020d" % i + gram + b"%020d" % (i % 3) for i in range(200)]
+    pack = lambda values, kind: np.array(values, kind).tobytes()
+    rows = [
+        {
+            "bucket": 0, "batch": i, "strings": zlib.compress(s), "names": pack([7], "<u4"),
+            "least": zlib.compress(pack([i], "<i8")),
+        }
+        for i, s in enumerate(strings)
+    ]
+    made, order = [], bwt.suffix_order
+    monkeypatch.setattr(bwt, "suffix_order", lambda some: made.append(len(some)) or order(some))
+    answers = byte_repeats._merge(pa.Table.from_pylist(rows))
+    assert sum(made) == len(strings) and len(made) < 5
+    first, expected = {}, {}
+    for i, s in enumerate(strings):
+        for k in range(len(s) - 49):
+            least = first.setdefault(s[k : k + 50], i)
+            if least < i:
+                expected.setdefault(i, {})[k] = least
+    found = {}
+    for row in answers.to_pylist():
+        low, high, least = (np.frombuffer(row[c], t).tolist() for c, t in (("low", "<u4"), ("high", "<u4"), ("least", "<i8")))
+        for a, b, c in zip(low, high, least):
+            found.setdefault(row["batch"], {}).update(dict.fromkeys(range(a, b + 1), c))
+    assert found == expected and expected
