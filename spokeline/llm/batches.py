@@ -156,3 +156,23 @@ def among(values: np.ndarray, ascending: np.ndarray) -> np.ndarray:
         return np.zeros(len(values), dtype=bool)
     at = np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)
     return ascending[at] == values
+
+
+class Lookup:
+    """Finds digests in an ascending array; most of those that aren't there are told by their lower bits alone."""
+
+    def __init__(self, ascending: np.ndarray):
+        self.ascending = ascending
+        self.mask = np.uint64((1 << max(16, min(26, len(ascending).bit_length() + 4))) - 1)
+        self.seen = np.zeros(int(self.mask) + 1, dtype=bool)
+        self.seen[ascending & self.mask] = True
+
+    def __call__(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values are there, and the first place of each of them."""
+        which = np.flatnonzero(self.seen[values & self.mask])
+        if not len(which):
+            return which, which
+        some = values[which]
+        at = np.minimum(np.searchsorted(self.ascending, some), len(self.ascending) - 1)
+        found = self.ascending[at] == some
+        return which[found], at[found]

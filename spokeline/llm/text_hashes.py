@@ -47,6 +47,47 @@ def word_digests(found: list[bytes]) -> np.ndarray:
 
 # An odd factor; fixed, so that digests agree between machines.
 _FACTOR = np.uint64(0x9E3779B97F4A7C17)
+# Longer words are digested one by one.
+_LONG = 64
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+
+
+def spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of UTF-8 text begin and end."""
+    symbols = np.frombuffer(data, np.uint8)
+    space = np.ones(len(data) + 2, dtype=bool)
+    np.less(symbols - np.uint8(9), 5, out=space[1:-1])  # what is below 9 wraps
+    space[1:-1] |= symbols == 32
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    return edges[::2], edges[1::2]
+
+
+def span_digests(data: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of the bytes of each span, alike on every machine, but others than ``word_digests``.
+
+    Eight bytes at a time are mixed in one-to-one, so that spans of one length up to 8 never share a digest.
+    """
+    sizes = ends - begins
+    padded = data + bytes(8)
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    with np.errstate(over="ignore"):
+        out = mix(sizes.astype(np.uint64) * _FACTOR)
+        some, at = slice(None), 0
+        while at < _LONG:
+            left = sizes[some] - at
+            word = eights[begins[some] + at] & _FIRST[np.minimum(left, 8)]
+            out[some] = mix(out[some] * _FACTOR + word)
+            at += 8
+            some = np.flatnonzero((sizes > at) & (sizes <= _LONG))
+            if not len(some):
+                break
+    long = np.flatnonzero(sizes > _LONG)
+    if len(long):
+        import xxhash
+
+        at = zip(begins[long].tolist(), ends[long].tolist())
+        out[long] = np.array([xxhash.xxh3_64_intdigest(data[b:e]) for b, e in at], dtype=np.uint64)
+    return out
 
 
 def runs(digests: np.ndarray, length: int, seed: int = 0) -> np.ndarray:

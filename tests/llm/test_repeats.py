@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from spokeline.llm import batches, bwt, byte_repeats, word_repeats
+from spokeline.llm import batches, bwt, byte_repeats, text_hashes, word_repeats
 
 from .conftest import as_dicts, sha256, words
 
@@ -193,3 +193,45 @@ def test_shards_grow_with_strings_not_with_batches(monkeypatch):
         for a, b, c in zip(low, high, least):
             found.setdefault(row["batch"], {}).update(dict.fromkeys(range(a, b + 1), c))
     assert found == expected and expected
+
+
+def test_words_are_digested_many_at_a_time():
+    rng = random.Random(4)
+    sizes = [1, 2, 7, 8, 9, 15, 16, 17, 40, 63, 64, 65, 200]
+    known = ["".join(rng.choice("ab\x00é") for _ in range(n)) for n in sizes for _ in range(3)]
+    known += ["a", "a\x00", "a" * 8, "a" * 9, "a" * 64, "a" * 65, "b" + "a" * 63, "a" * 63 + "b"]
+    text = "".join(rng.choice(known) + rng.choice([" ", "\t", "\n\x0b", "\x0c \r"]) for _ in range(2000))
+    for data in (text.encode(), text.strip().encode(), b"", b" ", b"x"):
+        begins, ends = text_hashes.spans(data)
+        found = [data[b:e] for b, e in zip(begins.tolist(), ends.tolist())]
+        assert found == data.split()
+        digests = text_hashes.span_digests(data, begins, ends).tolist()
+        assert len(set(zip(found, digests))) == len(set(found)) == len(set(digests))
+
+
+def test_chunks_of_a_batch_change_nothing(docs_of, monkeypatch):
+    rows = corpus(random.Random(6), 120) + [(9000 + i, "\n\t" * i) for i in range(9)]
+    rows += [(10000 + i, f"w{i} " + "語" * 40 + " é" * 13) for i in range(9)]
+    batch = pa.table({
+        "doc_id": pa.array([2**63 - 1 if i is None else i for i, _ in rows], pa.int64()),
+        "text": [t or "" for _, t in rows], "batch": pa.array([0] * len(rows), pa.int32()),
+    })
+    asked = word_repeats._probe(4)(batch)
+    for size in (1, 300):
+        monkeypatch.setattr(word_repeats, "CHUNK", size)
+        assert word_repeats._probe(4)(batch) == asked
+    found = as_dicts(word_repeats.without_repeats(docs_of(rows)))
+    assert sorted((tuple(r.values())[:4] for r in found), key=str) == brute_words(rows)
+
+
+def test_words_are_made_only_for_what_is_kept(docs_of, monkeypatch):
+    rows = corpus(random.Random(7), 40)
+    batch = pa.table({
+        "doc_id": pa.array([i or 0 for i, _ in rows], pa.int64()),
+        "text": [t or "" for _, t in rows], "batch": pa.array([0] * len(rows), pa.int32()),
+    })
+    made = []
+    monkeypatch.setattr(text_hashes, "words", lambda *a: made.append(a) or (a[0] or "").encode().split())
+    answers = word_repeats._probe(4)(batch)
+    hits = pa.table({c: answers.column(c) for c in ("batch", "bucket", "keys")})
+    assert word_repeats._extend(4)(batch, hits).num_rows and not made
