@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from spokeline.llm import batches, bwt, byte_repeats, text_hashes, word_repeats
@@ -235,3 +236,62 @@ def test_words_are_made_only_for_what_is_kept(docs_of, monkeypatch):
     answers = word_repeats._probe(4)(batch)
     hits = pa.table({c: answers.column(c) for c in ("batch", "bucket", "keys")})
     assert word_repeats._extend(4)(batch, hits).num_rows and not made
+
+
+def grouped(tables, key):
+    """Rows of tables by a key's value, as groupBy deals them."""
+    table = pa.concat_tables(tables, promote_options="default")
+    return {k: table.filter(pc.equal(table.column(key), k)) for k in table.column(key).unique().to_pylist()}
+
+
+def batches_of(rows, n):
+    rows = [(2**63 - 1 if i is None else i, i is not None, t or "", k % n) for k, (i, t) in enumerate(rows)]
+    types = [("doc_id", pa.int64()), ("named", pa.bool_()), ("text", pa.string()), ("batch", pa.int32())]
+    return grouped([pa.table([pa.array(c, t) for c, (_, t) in zip(zip(*rows), types)], [c for c, _ in types])], "batch")
+
+
+def answered(answer, tables, key):
+    return [answer(g) for g in grouped(tables, key).values()]
+
+
+def cogrouped(run, batches, tables):
+    """Each batch with its rows of the tables, if any."""
+    of = grouped(tables, "batch")
+    none = next(iter(of.values())).slice(0, 0)
+    return [run(b, of.get(k, none)) for k, b in batches.items()]
+
+
+@pytest.mark.parametrize("size", [1, 200, 5000])
+def test_word_repeats_in_small_chunks(monkeypatch, size):
+    # Constants of a module change here, not in Spark's workers, so the steps run here.
+    monkeypatch.setattr(word_repeats, "CHUNK", size)
+    rows = corpus(random.Random(size), 150) + [(9000 + i, "\n\t" * i) for i in range(9)]
+    docs = batches_of(rows, 5)
+    hits = answered(batches.shared(True), map(word_repeats._probe(3), docs.values()), "bucket")
+    windows = cogrouped(word_repeats._extend(3), docs, hits)
+    out = cogrouped(word_repeats._remove, docs, answered(word_repeats._least, windows, "bucket"))
+    found = [tuple(r.values())[:4] for t in out for r in t.to_pylist()]
+    assert sorted(found, key=str) == brute_words(rows)
+
+
+@pytest.mark.parametrize("group, shard", [(1, 1), (2000, 300), (1 << 16, 500)])
+def test_byte_repeats_in_small_groups_and_shards(monkeypatch, group, shard):
+    monkeypatch.setattr(byte_repeats, "CHUNK", 700)
+    monkeypatch.setattr(byte_repeats, "GROUP", group)
+    monkeypatch.setattr(byte_repeats, "SHARD", shard)
+    rng = random.Random(shard)
+    rows = corpus(rng, 100) + [(5000 + k, "z" * rng.randrange(45, 130)) for k in range(9)]
+    rows += [(6000, "q" * 300), (6, "q" * 49), (7, "x" + "q" * 60), (6001, "ab" * 200), (8, "ba" * 40)]
+    docs, sizes, merge = batches_of(rows, 5), [], bwt.merge
+    monkeypatch.setattr(bwt, "merge", lambda shards, depth: sizes.append(len(shards)) or merge(shards, depth))
+    names = answered(batches.shared(False), map(byte_repeats._probe(2), docs.values()), "bucket")
+    asked = cogrouped(byte_repeats._probe_windows(2), docs, names)
+    windows = answered(batches.shared(False), asked, "bucket") if any(t.num_rows for t in asked) else []
+    alone = pa.array([byte_repeats.ALONE], pa.int32())
+    windows = [t.drop_columns(["kind"]).append_column("kind", pa.concat_arrays([alone] * t.num_rows)) for t in windows if t.num_rows]
+    hits = names + windows
+    answers = answered(byte_repeats._merge, cogrouped(byte_repeats._send(2), docs, hits), "bucket")
+    out = cogrouped(byte_repeats._remove(2), docs, hits + answers)
+    found = [tuple(r.values())[:5] for t in out for r in t.to_pylist()]
+    assert sorted(found, key=str) == brute_bytes(rows)
+    assert max(sizes) > 1  # some are merged
